@@ -1,0 +1,47 @@
+"""Shared scratch tables: where lineage is cut and intermediate results are kept.
+
+Everything goes below ``spark.checkpoint.dir``, the one folder that all executors
+and the driver share. Only where that setting is missing (a local test session) is
+a folder of this machine used instead.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_root(spark: SparkSession) -> str:
+    """URI of the shared scratch folder of this session."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return (root or _own_root(spark.sparkContext.applicationId)).rstrip("/")
+
+
+@lru_cache(maxsize=None)
+def _own_root(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix=f"cytospark-{application}-")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh URI below the shared folder."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a scratch table and read it back, so later jobs restart from files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished jobs now.
+
+    The cleaner only acts after a driver garbage collection, which a driver that is
+    idle while executors work may not have for a long time.
+    """
+    spark.sparkContext._jvm.java.lang.System.gc()
