@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .arrow_sequences import read_documents, with_starts, write_sequences
 from .near_dedup import near_duplicates
+from .packing import pack_documents
+from .scratch import scratch_path
 from .substring_dedup import remove_repeats
 
 
@@ -25,9 +28,32 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences in Arrow files, and what the files give back."""
+    out_dir = scratch_path(spark, "sequences")
+    shards = write_sequences(_table(spark, sf_dir, "documents"), out_dir, _tokenizer("byte_bpe_50k.json"), end_id=0)
+    docs = read_documents(shards, out_dir)
+    docs = docs.join(with_starts(shards).select("shard", "before"), "shard")
+    return docs.select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    out = pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op5_arrow_sequences": op5_arrow_sequences,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
