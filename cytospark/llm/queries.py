@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrow_sequences import read_documents, with_starts, write_sequences
+from .lm_scoring import score
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .scratch import scratch_path
@@ -34,6 +35,15 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _fold(folds: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deleted-interpolation bigram scores of all documents."""
+    return score(_table(spark, sf_dir, "documents"), _fold(7), folds=7, scored_fold=2, deleted_fold=3)
+
+
 def op5_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences in Arrow files, and what the files give back."""
     out_dir = scratch_path(spark, "sequences")
@@ -52,6 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_arrow_sequences": op5_arrow_sequences,
     "op10_packing": op10_packing,
 }
