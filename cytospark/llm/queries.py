@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrow_sequences import read_documents, with_starts, write_sequences
+from .language_crf import identify
 from .lm_scoring import score
 from .near_dedup import near_duplicates
 from .packing import pack_documents
+from .quality import quality_scores
 from .scratch import scratch_path
 from .substring_dedup import remove_repeats
 
@@ -53,6 +55,17 @@ def op5_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by a conditional random field over words."""
+    return identify(_table(spark, sf_dir, "documents"), _fold(5)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality scores of all documents."""
+    out = quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(5))
+    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     out = pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1)
@@ -64,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_arrow_sequences": op5_arrow_sequences,
+    "op7_language_id": op7_language_id,
+    "op8_quality": op8_quality,
     "op10_packing": op10_packing,
 }
 
