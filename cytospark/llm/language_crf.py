@@ -21,7 +21,7 @@ from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, word_s
 DIMENSIONS = 1 << 16
 NGRAMS = (1, 2, 3, 4)
 BLOCK = 32
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 4 << 20
 #: Most documents of a language, and text bytes of one, in the sample that training uses.
 SAMPLE_DOCS, SAMPLE_BYTES = 300, 20_000
 LEXICON_WORDS = 200
@@ -103,7 +103,7 @@ class Crf:
         if not len(first):
             return np.zeros((0, len(self.labels)))
         count = np.diff(np.r_[first, len(index)])
-        sums = np.add.reduceat(self.weight[np.r_[index, DIMENSIONS]], np.minimum(first, len(index)), axis=0)
+        sums = np.add.reduceat(self.weight.astype(np.float32)[np.r_[index, DIMENSIONS]], np.minimum(first, len(index)), axis=0)
         sums[count == 0] = 0
         return sums + self.lexicon_rows(whole) @ self.lexicon_weight
 
@@ -119,38 +119,63 @@ def posteriors(emission: np.ndarray, doc: np.ndarray, docs: int, transition: np.
     place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
     b, t = first_block[doc] + place // BLOCK, place % BLOCK
     total = int(blocks.sum())
-    e = np.ones((total, BLOCK, k))
-    real = np.zeros((total, BLOCK), bool)
-    e[b, t] = np.exp(emission - emission.max(axis=1, keepdims=True))
-    real[b, t] = True
-    a = np.exp(transition - transition.max())
+    # Time comes first, so that each step works on one contiguous slice. What is padded
+    # lies at the end of a document's last block, after every word.
+    e = np.ones((BLOCK, total, k), np.float32)
+    e[t, b] = np.exp(emission - emission.max(axis=1, keepdims=True))
+    a = np.exp(transition - transition.max()).astype(np.float32)
     # A chain starts from a uniform state, so its first word has no transition.
-    enters = np.ones((total, BLOCK), bool)
-    enters[first_block[n > 0], 0] = False
-    whole = np.tile(np.eye(k), (total, 1, 1))
+    heads = first_block[n > 0]
+    last = (first_block + blocks - 1)[n > 0]
+    used = (n - (blocks - 1) * BLOCK)[n > 0]
+    whole = np.tile(np.eye(k, dtype=np.float32), (total, 1, 1))
     for s in range(BLOCK):
-        step = np.where(enters[:, s, None, None], whole @ a, whole) * e[:, s, None, :]
-        whole = np.where(real[:, s, None, None], step / step.max(axis=(1, 2), keepdims=True), whole)
-    alpha, beta = np.full((total, k), 1.0 / k), np.ones((total, k))
+        step = (whole.reshape(-1, k) @ a).reshape(total, k, k)
+        if s == 0:
+            step[heads] = whole[heads]
+        step *= e[s, :, None, :]
+        if s % 4 == 3:
+            step /= np.maximum(step.reshape(total, -1).sum(axis=1), 1e-30)[:, None, None]
+        whole = step
+    alpha, beta = np.full((total, k), 1.0 / k, np.float32), np.full((total, k), 1.0 / k, np.float32)
     for s in range(1, int(blocks.max())):
         at = first_block[blocks > s] + s
         x = np.einsum("bi,bij->bj", alpha[at - 1], whole[at - 1])
-        alpha[at] = x / x.sum(axis=1, keepdims=True)
+        alpha[at] = x / np.maximum(x.sum(axis=1, keepdims=True), 1e-30)
+    whole[last] = _short_products(e, a, last, used)
     for s in range(int(blocks.max()) - 2, -1, -1):
         at = first_block[blocks > s + 1] + s
         x = np.einsum("bij,bj->bi", whole[at + 1], beta[at + 1])
-        beta[at] = x / x.sum(axis=1, keepdims=True)
-    forward = np.empty((total, BLOCK, k))
+        beta[at] = x / np.maximum(x.sum(axis=1, keepdims=True), 1e-30)
+    forward = np.empty((BLOCK, total, k), np.float32)
     for s in range(BLOCK):
-        x = np.where(enters[:, s, None], alpha @ a, alpha) * e[:, s]
-        alpha = np.where(real[:, s, None], x / x.sum(axis=1, keepdims=True), alpha)
-        forward[:, s] = alpha
+        x = alpha @ a
+        if s == 0:
+            x[heads] = alpha[heads]
+        x *= e[s]
+        x /= np.maximum(x.sum(axis=1, keepdims=True), 1e-30)
+        alpha = forward[s] = x
     for s in range(BLOCK - 1, -1, -1):
-        forward[:, s] *= beta
-        x = np.where(enters[:, s, None], (beta * e[:, s]) @ a.T, beta * e[:, s])
-        beta = np.where(real[:, s, None], x / x.sum(axis=1, keepdims=True), beta)
-    out = forward[b, t]
-    return out / out.sum(axis=1, keepdims=True)
+        padded = last[used <= s]
+        beta[padded] = 1.0 / k
+        forward[s] *= beta
+        x = (beta * e[s]) @ a.T
+        x /= np.maximum(x.sum(axis=1, keepdims=True), 1e-30)
+        x[padded] = 1.0 / k
+        beta = x
+    out = forward[t, b]
+    return out / np.maximum(out.sum(axis=1, keepdims=True), 1e-30)
+
+
+def _short_products(e: np.ndarray, a: np.ndarray, rows: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Transfer matrices of blocks of which only the first ``used`` words exist."""
+    k = a.shape[0]
+    out = np.tile(np.eye(k, dtype=np.float32), (len(rows), 1, 1))
+    for s in range(int(used.max())):
+        on = used > s
+        step = (out[on].reshape(-1, k) @ a).reshape(-1, k, k) * e[s, rows[on], None, :]
+        out[on] = step / np.maximum(step.reshape(len(step), -1).sum(axis=1), 1e-30)[:, None, None]
+    return out
 
 
 def train(texts: list[str], labels: list[str], sequences: int = 1200, words: int = 80, rounds: int = 6, seed: int = 3) -> Crf:
