@@ -11,15 +11,23 @@ from .language_crf import identify
 from .lm_scoring import score
 from .near_dedup import near_duplicates
 from .packing import pack_documents
+from .permutation_index import nearest
 from .quality import quality_scores
 from .scratch import scratch_path
 from .substring_dedup import remove_repeats
+from .url_filters import match_captures, url_host
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 20-word windows removed from every document."""
     out = remove_repeats(_table(spark, sf_dir, "documents"))
@@ -66,6 +74,33 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def _number(text, digits: int = 6):
+    """A number from a text's MD5, the same in any engine."""
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages against a dated block list.
+
+    The tables hold neither fetch times nor lists, so both follow from a rule: a page is
+    fetched on a day of 2024 that its URL's MD5 gives; half of the hosts, their parent
+    domains and sections enter the list, some leave it, and some return.
+    """
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = pages.withColumn("fetched_at", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(_number(F.col("url")), F.lit(366)).cast("int")))
+    host = url_host(F.col("url"))
+    section = F.concat_ws("/", host, F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)))
+    parent = F.regexp_extract(host, r"^[^.]+\.(.+)$", 1)
+    entries = pages.select(F.explode(F.array(host, section, parent)).alias("entry")).filter("entry is not null and entry <> ''").distinct()
+    n = _number(F.col("entry"))
+    entries = entries.filter(n % 2 == 0).withColumn("n", n)
+    day = lambda shift: F.date_add(F.lit("2024-01-01").cast("date"), (F.floor(F.col("n") / 7) % 180 + shift).cast("int"))
+    events = entries.select("entry", F.lit("add").alias("action"), day(0).alias("at"))
+    events = events.unionByName(entries.filter("n % 3 < 2").select("entry", F.lit("remove").alias("action"), day(60).alias("at")))
+    events = events.unionByName(entries.filter("n % 3 = 1").select("entry", F.lit("add").alias("action"), day(120).alias("at")))
+    return match_captures(pages, events)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     out = pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1)
@@ -73,12 +108,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_permutation_index": op1_permutation_index,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_arrow_sequences": op5_arrow_sequences,
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
+    "op9_url_filters": op9_url_filters,
     "op10_packing": op10_packing,
 }
 
