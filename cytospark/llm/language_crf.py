@@ -23,7 +23,7 @@ NGRAMS = (1, 2, 3, 4)
 BLOCK = 32
 CHUNK_BYTES = 4 << 20
 #: Most documents of a language, and text bytes of one, in the sample that training uses.
-SAMPLE_DOCS, SAMPLE_BYTES = 300, 20_000
+SAMPLE_DOCS, SAMPLE_BYTES = 250, 10_000
 LEXICON_WORDS = 200
 
 _LETTER = np.zeros(256, bool)
@@ -187,10 +187,12 @@ def train(texts: list[str], labels: list[str], sequences: int = 1200, words: int
     data = _fold(data)
     starts, ends, doc = word_spans(data, offsets)
     language = np.array([names.index(x) for x in labels])
-    index, first, whole = word_features(data, starts, ends)
+    # Features are made once for each distinct word.
+    _, sample, kind = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    index, first, whole = word_features(data, starts[sample], ends[sample])
     keys, which = np.unique(whole, return_inverse=True)
     table = np.zeros((len(keys), k))
-    np.add.at(table, (which, language[doc]), 1.0)
+    np.add.at(table, (which[kind], language[doc]), 1.0)
     table[keys == 0] = 0
     common = np.zeros(table.shape, bool)
     for c in range(k):
@@ -224,10 +226,11 @@ def train(texts: list[str], labels: list[str], sequences: int = 1200, words: int
             batch = [chains[i] for i in order[at : at + 60]]
             token = np.concatenate(batch)
             chain = np.repeat(np.arange(len(batch)), [len(c) for c in batch])
-            size = after[token] - first[token]
-            flat = index[np.arange(size.sum()) + np.repeat(first[token] - (np.cumsum(size) - size), size)]
-            lexicon = crf.lexicon_rows(whole[token])
-            emission = crf.emissions(flat, np.cumsum(size) - size, whole[token])
+            word = kind[token]
+            size = after[word] - first[word]
+            flat = index[np.arange(size.sum()) + np.repeat(first[word] - (np.cumsum(size) - size), size)]
+            lexicon = crf.lexicon_rows(whole[word])
+            emission = crf.emissions(flat, np.cumsum(size) - size, whole[word])
             p = posteriors(emission, chain, len(batch), crf.transition)
             truth = np.eye(k)[language[doc[token]]]
             gap = (truth - p) / len(token)

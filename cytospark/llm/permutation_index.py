@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from .scratch import materialise
 
 #: Pivots (a bounded sample of the vectors), files a vector is posted in, files a query probes.
-PIVOTS, POSTED, PROBED = 128, 2, 64
+PIVOTS, POSTED, PROBED = 128, 2, 88
 #: Share of a block's probed rows that footrule distance lets through, and the least number.
-SHARE, LEAST = 0.2, 200
+SHARE, LEAST = 0.25, 400
 BLOCK_ROWS, QUERY_ROWS = 4096, 4096
 
 

@@ -7,6 +7,7 @@ a folder of this machine used instead.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from functools import lru_cache
@@ -44,4 +45,5 @@ def release_shuffles(spark: SparkSession) -> None:
     The cleaner only acts after a driver garbage collection, which a driver that is
     idle while executors work may not have for a long time.
     """
+    gc.collect()
     spark.sparkContext._jvm.java.lang.System.gc()
