@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrow_sequences import read_documents, with_starts, write_sequences
+from .decontaminate import contaminated
 from .language_crf import identify
 from .lm_scoring import score
 from .near_dedup import near_duplicates
@@ -63,6 +64,11 @@ def op5_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, one row per pair."""
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents by a conditional random field over words."""
     return identify(_table(spark, sf_dir, "documents"), _fold(5)).select("doc_id", "held_out", "lang_pred", "score")
@@ -113,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_arrow_sequences": op5_arrow_sequences,
+    "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
     "op9_url_filters": op9_url_filters,
