@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from .blocks import bucket_slices, corpus_size, ordered_blocks, pack_sorted, unpack_sorted
 from .textkit import batches_of_bytes, span_hashes, text_bytes, window_hashes, word_spans
@@ -52,7 +54,7 @@ def _spans(repeated: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return at[np.r_[0, gap + 1]], at[np.r_[gap, len(at) - 1]] + window
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, block_bytes: int = BLOCK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove every word that lies in a window whose word sequence also starts earlier.
 
     Earlier is a smaller id, or the same document at an earlier word; windows are judged
@@ -62,9 +64,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null or blank texts have no words and an empty ``kept``. Rows with a null id come
     before all others; rows that share an id are separate documents ordered by text. Very long
     texts are hashed whole. An empty table gives an empty result. Other columns are
-    ignored, whatever their names.
+    ignored, whatever their names, but for those in ``carry``, which follow the result's.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    extra = [f"carried_{i}" for i in range(len(carry))]
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(x) for c, x in zip(carry, extra)))
+    kinds = StructType([StructField(x, docs.schema[x].dataType, True) for x in extra])
+    result = StructType([*StructType.fromDDL(RESULT).fields, *kinds.fields])
+    empty = to_arrow_schema(result).empty_table()
     n_blocks = max(1, -(-corpus_size(docs, "text")[1] // block_bytes))
     blocked = ordered_blocks(docs, "doc_id", n_blocks)
 
@@ -88,7 +94,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def apply(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "spans": pa.array([], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), "kept": pa.array([], pa.string())})
+            return empty
         table = _in_order(table)
         hashes, counts = _windows(table, window)
         keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
@@ -113,8 +119,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             spans.append([{"start": int(a), "end": int(b)} for a, b in zip(lo, hi)])
             kept.append(b" ".join(words).decode())
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        return pa.table({"doc_id": table["doc_id"], "n_words": pa.array(counts), "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.string())})
+        return pa.table({"doc_id": table["doc_id"], "n_words": pa.array(counts), "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.string()), **{x: table[x] for x in extra}})
 
     sent = blocked.groupBy("block").applyInArrow(send, "block int, bucket int, keys binary")
     answers = sent.groupBy("bucket").applyInArrow(answer, "block int, bucket int, again binary")
-    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, RESULT)
+    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, result).withColumnsRenamed(dict(zip(extra, carry)))
