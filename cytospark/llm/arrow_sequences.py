@@ -27,7 +27,7 @@ BLOCK_BYTES = 8 << 20
 BATCH_ROWS = 256
 
 SHARDS = "shard int, path string, documents long, tokens long"
-ROWS = "doc_id long, shard int, shard_start long, n_tokens long, ids binary"
+ROWS = "doc_id long, start long, n_tokens long, ids binary"
 
 
 def sequence_schema(length: int, largest_id: int) -> pa.Schema:
@@ -97,12 +97,12 @@ def with_starts(shards: DataFrame, wide: int = 1024) -> DataFrame:
 
 
 def read_documents(shards: DataFrame, out_dir: str) -> DataFrame:
-    """Each document's ids (little-endian unsigned 32-bit), cut from the shard files again."""
+    """Each document's ids (little-endian unsigned 32-bit) and start, cut from the shard files again."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = pafs.FileSystem.from_uri(out_dir)
         for batch in batches:
-            for number, path in zip(batch.column("shard").to_pylist(), batch.column("path").to_pylist()):
+            for before, path in zip(batch.column("before").to_pylist(), batch.column("path").to_pylist()):
                 with fs.open_input_file(f"{path}.arrow") as f:
                     file = pa.ipc.open_file(f)
                     flat = [file.get_batch(k).column("ids").flatten().to_numpy() for k in range(file.num_record_batches)]
@@ -113,6 +113,6 @@ def read_documents(shards: DataFrame, out_dir: str) -> DataFrame:
                 for i, j in batches_of_bytes(np.r_[0, np.cumsum(n)], 1 << 20):
                     parts = [ids[s : s + k].astype("<u4").tobytes() for s, k in zip(start[i:j], n[i:j])]
                     own = index.slice(i, j - i).combine_chunks()
-                    yield pa.RecordBatch.from_pydict({"doc_id": own["doc_id"].combine_chunks() if own["doc_id"].num_chunks != 1 else own["doc_id"].chunk(0), "shard": pa.array([number] * (j - i), pa.int32()), "shard_start": pa.array(start[i:j]), "n_tokens": pa.array(n[i:j]), "ids": pa.array(parts, pa.binary())})
+                    yield pa.RecordBatch.from_pydict({"doc_id": own["doc_id"].combine_chunks() if own["doc_id"].num_chunks != 1 else own["doc_id"].chunk(0), "start": pa.array(start[i:j] + before), "n_tokens": pa.array(n[i:j]), "ids": pa.array(parts, pa.binary())})
 
-    return shards.select("shard", "path").repartition("shard").mapInArrow(read, ROWS)
+    return with_starts(shards).select("before", "path").repartition("path").mapInArrow(read, ROWS)

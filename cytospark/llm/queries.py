@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .arrow_sequences import read_documents, with_starts, write_sequences
+from .arrow_sequences import read_documents, write_sequences
 from .decontaminate import contaminated
 from .language_crf import identify
 from .lm_scoring import score
@@ -59,9 +59,7 @@ def op5_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences in Arrow files, and what the files give back."""
     out_dir = scratch_path(spark, "sequences")
     shards = write_sequences(_table(spark, sf_dir, "documents"), out_dir, _tokenizer("byte_bpe_50k.json"), end_id=0)
-    docs = read_documents(shards, out_dir)
-    docs = docs.join(with_starts(shards).select("shard", "before"), "shard")
-    return docs.select("doc_id", (F.col("before") + F.col("shard_start")).alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_documents(shards, out_dir).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,6 @@ a folder of this machine used instead.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from functools import lru_cache
@@ -31,19 +30,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a scratch table and read it back, so later jobs restart from files."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Session setting by which Spark drops an execution's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished jobs now.
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a scratch table and read it back, so later jobs restart from files.
 
-    The cleaner only acts after a driver garbage collection, which a driver that is
-    idle while executors work may not have for a long time.
+    The shuffle files of the write go when it is done: nothing reads them again, and the
+    cleaner would only find them at some later garbage collection of the driver.
     """
-    gc.collect()
-    spark.sparkContext._jvm.java.lang.System.gc()
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
