@@ -1,0 +1,186 @@
+"""The numbered operators against brute force, with nulls, ties, repeats and empty tables."""
+
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from cytospark.llm.arrow_sequences import read_documents, write_sequences
+from cytospark.llm.decontaminate import contaminated
+from cytospark.llm.language_crf import identify
+from cytospark.llm.lm_scoring import score
+from cytospark.llm.near_dedup import near_duplicates
+from cytospark.llm.packing import pack_documents
+from cytospark.llm.permutation_index import nearest
+from cytospark.llm.quality import quality_scores
+from cytospark.llm.scratch import scratch_path
+from cytospark.llm.substring_dedup import remove_repeats
+from cytospark.llm.url_filters import match_captures
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block int, key string"
+
+
+def corpus():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage, base = text(60), text(80)
+    out = [text(rng.randint(1, 90)) for _ in range(30)]
+    out += [text(10) + " " + passage + " " + text(9), passage + " " + text(5), text(3) + "\n" + passage]
+    near = base.split()
+    near[40] = "Changed"
+    out += [base, base, " ".join(near), base.upper(), None, "", " \t\n", "one two three", "One two THREE", "x " * 300 + "y", text(3000)]
+    return [(i * 3 + 1, t) for i, t in enumerate(out)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(i, t, "en", "s", 0, 7, "k") for i, t in corpus()], SCHEMA).repartition(3)
+
+
+def split(t):
+    return [w for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", t or "")]
+
+
+def fold_of(n):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def test_substring_dedup(docs):
+    seen, want = set(), {}
+    for i, t in corpus():
+        w, cut = split(t), set()
+        for k in range(len(w) - 19):
+            key = tuple(w[k : k + 20])
+            if key in seen:
+                cut |= set(range(k, k + 20))
+            seen.add(key)
+        kept = " ".join(x for k, x in enumerate(w) if k not in cut)
+        want[i] = (len(w), len(cut), hashlib.sha256(kept.encode()).hexdigest())
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) for r in remove_repeats(docs, block_bytes=4000).collect()}
+    assert got == want and sum(v[1] for v in want.values()) > 100
+    assert remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_near_dedup(docs):
+    sets = {}
+    for i, t in corpus():
+        w = [x.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for x in split(t)]
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect()}
+    assert got == {i: (len(sets[i]), root[i], root[i] == i) for i in sets}
+    assert sum(not v[2] for v in got.values()) >= 4
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 16)).astype(np.float32)
+    x[7] = x[8]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] * 16)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in nearest(v, v.filter("vec_id % 20 = 0"), k=20).collect():
+        assert r["score"] == pytest.approx(float(x[r["query_id"]].astype(float) @ x[r["vec_id"]].astype(float)), abs=1e-9)
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    hits = 0
+    for q in range(0, 300, 20):
+        s = x.astype(float) @ x[q].astype(float)
+        best = sorted((i for i in range(300) if i != q), key=lambda i: (-s[i], i))[:20]
+        assert sorted(got[q]) == list(range(1, 21))
+        hits += len(set(best) & set(got[q].values()))
+    assert hits >= 0.9 * 20 * 15
+
+
+def ids_of(name, text, end):
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    t.encode_special_tokens = True
+    return np.array([*t.encode(text or "", add_special_tokens=False).ids, end], "<u4")
+
+
+def test_arrow_sequences(spark, docs):
+    out = scratch_path(spark, "sequences")
+    shards = write_sequences(docs, out, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, block_bytes=3000)
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], zlib.crc32(bytes(r["ids"]))) for r in read_documents(shards, out).collect()}
+    start, want = 0, {}
+    for i, t in corpus():
+        ids = ids_of("byte_bpe_50k.json", t, 0)
+        want[i] = (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert got == want
+
+
+def test_packing(docs):
+    rows = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1).collect()
+    by_doc, by_seq = {}, {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_seq.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for i, t in corpus():
+        ids = b"".join(bytes(r["ids"]) for r in sorted(by_doc[i], key=lambda r: r["start"]))
+        assert ids == ids_of("word_bpe_49k.json", t, 1).tobytes() and all(r["doc_tokens"] * 4 == len(ids) for r in by_doc[i])
+    for pieces in by_seq.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 2048
+
+
+def test_lm_base_scores(docs):
+    fold = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in corpus()}
+    tokens = {i: [w.lower() for w in split(t)] + [None] for i, t in corpus()}
+    count = {}
+    for i, ws in tokens.items():
+        if fold[i] != 2:
+            for w in ws:
+                count[w] = count.get(w, 0) + 1
+    n, v = sum(count.values()), len(count)
+    for r in score(docs, fold_of(7), folds=7, scored_fold=2, deleted_fold=3, block_bytes=5000).collect():
+        ws = tokens[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (fold[r["doc_id"]] == 2, len(ws), sum(w in count for w in ws), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((count.get(w, 0) + 1) / (n + v + 1)) for w in ws), rel=1e-9)
+        assert math.isfinite(r["score"]) and r["score"] < 0
+
+
+def test_decontamination(spark, docs):
+    item = "Which river runs past the old mill at the edge of town before it meets the sea? The answer is the Grey Water."
+    changed = item.replace("old mill", "ancient mill").replace("edge", "rim")
+    rows = [(900, "w1 w2 w3 " * 20 + item + " w5 w6" * 30), (901, "w7 " * 50 + changed + " w9" * 10)]
+    more = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    bench = spark.createDataFrame([(1, item), (2, None), (3, " ")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(more, bench).collect()} == {(900, 1), (901, 1)}
+    assert contaminated(docs, bench.limit(0)).count() == 0 and contaminated(docs.limit(0), bench).count() == 0
+
+
+def test_classifiers_on_odd_rows(spark, docs):
+    rng = random.Random(1)
+    en, de = ["the", "house", "with", "river", "and"], ["das", "haus", "mit", "fluss", "und"]
+    rows = [(i, " ".join(rng.choice(de if i % 2 else en) for _ in range(12)), "de" if i % 2 else "en") for i in range(200)] + [(500, None, "en"), (501, "12 34", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(d, fold_of(5)).collect()}
+    assert got[500][0] == got[501][0] == "und"
+    assert sum(got[i][0] == lang for i, _, lang in rows[:200]) >= 195
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    scores = {r["doc_id"]: r["score"] for r in quality_scores(d, labels, fold_of(5)).collect()}
+    assert len(scores) == 202 and all(0 <= s <= 1 for s in scores.values())
+    assert quality_scores(d.limit(0), labels, fold_of(5)).count() == 0
+
+
+def test_url_filters(spark):
+    pages = spark.createDataFrame([(1, "http://a.b.com/x/y", 5), (2, "http://b.com/", 1), (3, None, 5), (4, "bad", 5), (5, "http://A.b.com/x", 9)], "page_id long, url string, fetched_at int")
+    events = spark.createDataFrame([("b.com", "add", 3), ("b.com", "remove", 7), ("a.b.com/x", "add", 4), (None, "add", 1), ("b.com", "add", 3)], "entry string, action string, at int")
+    for most in (200_000, 0):
+        got = {r["page_id"]: (r["n_active"], r["entry"], r["blocked"]) for r in match_captures(pages, events, broadcast_rows=most).collect()}
+        assert got == {1: (2, "a.b.com/x", True), 2: (0, None, False), 3: (0, None, False), 4: (0, None, False), 5: (1, "a.b.com/x", True)}
