@@ -21,28 +21,32 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_QUALITY = 0.3
 
 
-def _same_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    return docs.join(ids.select(F.col("doc_id").alias("other_id")), docs["doc_id"].eqNullSafe(F.col("other_id")), how)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose calibrated quality is LEAST_QUALITY or more.
+    """Rows whose calibrated quality is LEAST_QUALITY or more, whatever their ids.
 
-    All labels of documents that are there take part in the fit. Where an id is repeated
-    all its rows stay if one is good enough.
+    All labels of documents that are there take part in the fit.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
-    scores = quality_scores(docs, labels, fold, held_out_fold=-1)
-    good = scores.filter(F.col("score") >= LEAST_QUALITY)
-    return _same_id(docs, good, "left_semi").select(*COLUMNS)
+    scores = quality_scores(docs, labels, fold, held_out_fold=-1, carry=COLUMNS[1:])
+    return scores.filter(F.col("score") >= LEAST_QUALITY).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of each group of near duplicates; one row of each id. Null ids all stay."""
-    kept = near_duplicates(docs).filter("kept")
-    known = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return _same_id(known, kept, "left_semi").select(*COLUMNS).unionByName(docs.filter("doc_id is null").select(*COLUMNS))
+    """The least row of each group of near duplicates, by id, null ids last, then a hash of the row.
+
+    Each (id, text) is judged by itself, so texts that share an id, or have none, fall only
+    to their own near duplicates. Rows equal in id and text are one, with the least of the
+    other columns; blank rows without an id all stay. Rows are told apart by 64-bit hashes.
+    """
+    nameless = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.filter(~nameless).select(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text").alias("row"), *COLUMNS)
+    nodes = near_duplicates(rows, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
+    members = nodes.join(rows.select("row", "doc_id").distinct(), "row")
+    least = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("least"))
+    single = rows.groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("it"))
+    kept = single.join(least.select(F.col("least.row").alias("row")), "row", "left_semi").select("it.*")
+    return kept.unionByName(docs.filter(nameless).select(*COLUMNS))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +61,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
-    hits = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _same_id(docs, hits.select("doc_id").distinct(), "left_anti").select(*COLUMNS)
+    """Rows in which no benchmark item is found, whatever their ids."""
+    docs = docs.select(*COLUMNS, F.sha2("text", 256).alias("digest"))
+    hits = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=("digest",))
+    hits = hits.select(F.col("doc_id").alias("other_id"), F.col("digest").alias("other_digest")).distinct()
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["other_id"]) & (docs["digest"] == hits["other_digest"]), "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

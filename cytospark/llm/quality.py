@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .scratch import materialise
 from .textkit import batches_of_bytes, span_hashes, text_bytes, word_spans
@@ -64,18 +65,20 @@ def document_statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 _LETTERS = np.array([*range(65, 91), *range(97, 123), *range(128, 256)], np.uint8)
 
 
-def statistics_table(docs: DataFrame, fold, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fold, x) with the statistics of every whole text; null texts count as empty."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(fold, F.lit(0)).cast("int").alias("fold"))
+def statistics_table(docs: DataFrame, fold, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fold, x) with the statistics of every whole text; null texts count as empty. ``carry`` follows as carried_0 and on."""
+    extra = [f"carried_{i}" for i in range(len(carry))]
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(fold, F.lit(0)).cast("int").alias("fold"), *(F.col(c).alias(x) for c, x in zip(carry, extra)))
+    result = StructType([*StructType.fromDDL("doc_id long, fold int, x array<float>").fields, *(StructField(x, docs.schema[x].dataType, True) for x in extra)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             x = document_statistics(data, offsets).astype(np.float32)
             column = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * STATISTICS, pa.int32()), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fold": batch.column("fold"), "x": column})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fold": batch.column("fold"), "x": column, **{c: batch.column(c) for c in extra}})
 
-    return docs.mapInArrow(run, "doc_id long, fold int, x array<float>")
+    return docs.mapInArrow(run, result)
 
 
 @dataclass(frozen=True)
@@ -165,15 +168,18 @@ def fit(labelled: DataFrame, calibration_fold: int = 4, seed: int = 8) -> Model:
     return Model(base.mean, base.scale, frequency, base.phase, weight, level, np.clip(chance, 0.0, 1.0))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, fold, held_out_fold: int = 0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, fold, held_out_fold: int = 0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, held_out, score) of every row of ``docs``: the chance that its label is 1.
 
     Labels of documents in ``held_out_fold`` are not used. Rows of ``labels`` with a null
     id or label are left out; where an id has several labels their mean counts. Null,
     empty and very long texts are scored by the same statistics. Null ids count as fold 0.
-    Other columns are ignored. Empty tables give an empty result.
+    Other columns are ignored, but for those in ``carry``, which follow the result's.
+    Empty tables give an empty result.
     """
-    table = materialise(statistics_table(docs, fold, id_col, text_col), "statistics")
+    table = materialise(statistics_table(docs, fold, id_col, text_col, carry), "statistics")
+    extra = [f"carried_{i}" for i in range(len(carry))]
+    result = StructType([*StructType.fromDDL("doc_id long, held_out boolean, score double").fields, *(table.schema[x] for x in extra)])
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).dropna().groupBy("doc_id").agg(F.avg("y").alias("y"))
     labelled = materialise(table.filter(F.col("fold") != held_out_fold).join(known, "doc_id").select("fold", "x", "y"), "labelled")
     model = fit(labelled)
@@ -182,6 +188,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fold, held_out_fold: int
         for batch in batches:
             score = model.score(_matrix(batch))
             held = np.asarray(batch.column("fold").to_numpy()) == held_out_fold
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "held_out": pa.array(held), "score": pa.array(score)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "held_out": pa.array(held), "score": pa.array(score), **{c: batch.column(c) for c in extra}})
 
-    return table.mapInArrow(run, "doc_id long, held_out boolean, score double")
+    return table.mapInArrow(run, result).withColumnsRenamed(dict(zip(extra, carry)))

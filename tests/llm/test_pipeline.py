@@ -1,0 +1,60 @@
+"""Stages of the pipeline decide row by row, whatever the ids."""
+
+import random
+
+import pytest
+
+import corpus_pipeline as cp
+
+ITEM = "Which river runs past the old mill at the edge of town before it meets the sea? The answer is the Grey Water."
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def some(rng, n):
+    return " ".join(f"w{rng.randint(1, 400)}" for _ in range(n))
+
+
+@pytest.fixture
+def frame(spark):
+    return lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA).repartition(3)
+
+
+def texts(df):
+    assert tuple(df.columns) == cp.COLUMNS
+    return sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "", r["lang"], r["n_chars"]) for r in df.collect())
+
+
+def want(rows):
+    return sorted((-1 if i is None else i, t or "", "en", len(t or "")) for i, t in rows)
+
+
+def test_decontamination_by_row(spark, frame, tmp_path):
+    rng = random.Random(1)
+    clean = [(None, some(rng, 90)), (None, None), (None, some(rng, 70)), (4, some(rng, 80)), (5, some(rng, 80)), (6, None), *((i, some(rng, 60)) for i in range(10, 60))]
+    bad = [(None, some(rng, 30) + " " + ITEM + " " + some(rng, 30)), (4, some(rng, 50) + " " + ITEM)]
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert texts(cp.decontamination(spark, frame(clean + bad), str(tmp_path))) == want(clean)
+    spark.createDataFrame([], "item_id long, text string").write.mode("overwrite").parquet(str(tmp_path / "benchmark.parquet"))
+    assert texts(cp.decontamination(spark, frame(clean + bad), str(tmp_path))) == want(clean + bad)
+
+
+def test_quality_by_row(spark, frame, tmp_path):
+    rng = random.Random(2)
+    good = lambda: "The " + " ".join(rng.choice(("house", "river", "stands", "near", "a", "quiet", "town")) for _ in range(40)) + "."
+    junk = lambda: " ".join("$%#@" + str(rng.randint(1000, 9999)) for _ in range(40))
+    known = [(i, junk() if i % 2 else good()) for i in range(200)]
+    kept, gone = [(None, good()), (900, good())], [(None, junk()), (900, junk())]
+    spark.createDataFrame([(i, 1 - i % 2) for i in range(200)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = texts(cp.quality(spark, frame(known + kept + gone), str(tmp_path)))
+    assert [r for r in got if r[0] in (-1, 900)] == want(kept)
+
+
+def test_near_dedup_by_row(spark, frame, tmp_path):
+    rng = random.Random(3)
+    base, other = some(rng, 80).split(), some(rng, 80)
+    near = " ".join([*base[:40], "changed", *base[41:]])
+    base = " ".join(base)
+    alone = some(rng, 60)
+    stay = [(2, base), (5, some(rng, 60)), (5, alone), (None, some(rng, 60)), (None, other), (None, None), (None, ""), (None, None), (8, None), (9, " ")]
+    fall = [(7, near), (None, near), (None, base), (5, base), (5, alone), (None, other)]
+    assert texts(cp.near_dedup(spark, frame(stay + fall), str(tmp_path))) == want(stay)
