@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.labels import diagnosis, list_label, list_top_n, ordinal
-from ..model import AGGREGATE_TARGET, FEATURE_TARGET, MAIN, Dataset
+from ..model import AGGREGATE_TARGET, FEATURE_TARGET, MAIN, TOP_GENES, Dataset
 from ..operators import aggregates as ag
 from ..operators import columns as co
 from ..operators import combine as cb
@@ -541,9 +541,13 @@ def fuzzy_graph(spark, d):
 
 @query()
 def pca_scores(spark, d):
-    """NK7: of the expression of one brand's genes; signs are arbitrary, so sizes are given."""
+    """NK7, after NK4: of the variable genes of the whole matrix; signs are arbitrary, so sizes are given."""
     x = dataset(spark, d)
-    few = fi.keep_genes(x.with_(expr=lognorm(x)), _brand(spark, d, 12))
-    if few.var.isEmpty():
+    x = x.with_(expr=lognorm(x))
+    scores = by_dispersion(x.expr, x.obs.count(), TOP_GENES)
+    # The components need these names on the driver too; the choice is made once.
+    chosen = [(r["gene"],) for r in scores.filter("highly_variable").select("gene").collect()]
+    few = fi.keep_genes(x, spark.createDataFrame(chosen, "gene string"))
+    if not chosen:
         return spark.createDataFrame([], "cell_id string, pc array<double>")
-    return components(few, 10).select("cell_id", F.transform("pc", lambda v: F.round(F.abs(v), 6)).alias("pc"))
+    return components(few).select("cell_id", F.transform("pc", lambda v: F.round(F.abs(v), 6)).alias("pc"))
