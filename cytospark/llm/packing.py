@@ -21,6 +21,7 @@ from .tokenise import encoder
 
 BATCH_BYTES = 4 << 20
 
+#: With a column of first loss-bearing tokens, ``n_loss`` follows.
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -106,16 +107,21 @@ def pack(tokens: np.ndarray, loss_from: np.ndarray, limits: Limits = Limits()) -
     return np.array(out, np.int64).reshape(-1, 5)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, loss_from_col: str | None = None) -> DataFrame:
     """Tokenise whole texts, append ``end_id`` and pack; one row per piece.
 
     A piece is ``length`` tokens of its document from ``start`` on, at ``offset`` of
     sequence ``sequence_id``; ``ids`` holds them as little-endian unsigned 32-bit integers.
-    All tokens bear loss. Null and empty texts have the end id alone. Null ids are kept as
+    All tokens bear loss, or with ``loss_from_col`` those from that token of the text on
+    (null or negative: all; past the end: none), the end id like any other; the last
+    ``n_loss`` tokens of a piece are the ones that do. Null and empty texts have the end id alone. Null ids are kept as
     such; rows that share an id are packed as separate documents. Other columns are
     ignored; an empty table gives no piece.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if min(limits.tokens, limits.segments, limits.loss) < 1:
+        raise ValueError(f"limits must be 1 or more: {limits}")
+    loss_from = F.lit(0) if loss_from_col is None else F.coalesce(F.col(loss_from_col), F.lit(0))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), loss_from.cast("long").alias("loss_from"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer)
@@ -129,14 +135,17 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, limits: Lim
                 ends = ends + np.arange(1, len(ends) + 1)
                 first = np.r_[0, ends[:-1]]
                 tokens = ends - first
-                piece = pack(tokens, np.zeros(len(tokens), np.int64), limits)
+                bears = np.clip(batch.column("loss_from").to_numpy()[i:j], 0, tokens)
+                piece = pack(tokens, bears, limits)
                 at = first[piece[:, 0]] + piece[:, 1]
+                n_loss = np.minimum(piece[:, 2], np.maximum(0, piece[:, 1] + piece[:, 2] - bears[piece[:, 0]]))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": ids_of.slice(i, j - i).take(pa.array(piece[:, 0])),
                     "start": pa.array(piece[:, 1]), "length": pa.array(piece[:, 2]),
                     "ids": pa.array([ids[a : a + n].tobytes() for a, n in zip(at.tolist(), piece[:, 2].tolist())], pa.binary()),
                     "doc_tokens": pa.array(tokens[piece[:, 0]]), "sequence_id": pa.array(piece[:, 3] + sequence), "offset": pa.array(piece[:, 4]),
+                    **({"n_loss": pa.array(n_loss)} if loss_from_col is not None else {}),
                 })
                 sequence += int(piece[:, 3].max()) + 1 if len(piece) else 0
 
-    return docs.mapInArrow(run, PIECES)
+    return docs.mapInArrow(run, PIECES if loss_from_col is None else PIECES + ", n_loss long")

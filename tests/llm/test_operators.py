@@ -16,7 +16,7 @@ from cytospark.llm.decontaminate import contaminated
 from cytospark.llm.language_crf import identify
 from cytospark.llm.lm_scoring import score
 from cytospark.llm.near_dedup import near_duplicates
-from cytospark.llm.packing import pack_documents
+from cytospark.llm.packing import Limits, pack_documents
 from cytospark.llm.permutation_index import nearest
 from cytospark.llm.quality import quality_scores
 from cytospark.llm.scratch import scratch_path
@@ -138,6 +138,34 @@ def test_packing(docs):
         assert at <= 2048
 
 
+@pytest.mark.parametrize("limits", [Limits(tokens=256, segments=6, loss=40), Limits(tokens=64, segments=3, loss=100), Limits(loss=300)])
+def test_packing_with_prompts(spark, limits):
+    rng = random.Random(9)
+    rows = []
+    for i in range(120):
+        prompt = " ".join(f"word{rng.randint(1, 99)}" for _ in range(rng.choice((0, 5, 40, 200))))
+        reply = " ".join(f"word{rng.randint(1, 99)}" for _ in range(rng.choice((0, 3, 30, 150))))
+        rows.append((i, (prompt + " " + reply).strip(), len(ids_of("word_bpe_49k.json", prompt, 1)) - 1))
+    rows += [(500, "word1 " * 30, None), (501, "word2 " * 30, -4), (502, "word3 " * 30, 10**6), (503, None, 3)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, prompt_tokens long").repartition(2)
+    by_doc, by_seq = {}, {}
+    for r in pack_documents(d, public_tokenizers.path("word_bpe_49k.json"), limits=limits, loss_from_col="prompt_tokens", batch_bytes=20_000).collect():
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_seq.setdefault(r["sequence_id"], []).append(r)
+    for i, t, first in rows:
+        ids, bears = ids_of("word_bpe_49k.json", t, 1), max(0, first or 0)
+        pieces = sorted(by_doc[i], key=lambda r: r["start"])
+        assert b"".join(bytes(r["ids"]) for r in pieces) == ids.tobytes()
+        assert all(r["n_loss"] == sum(k >= bears for k in range(r["start"], r["start"] + r["length"])) for r in pieces)
+    for pieces in by_seq.values():
+        assert sum(r["length"] for r in pieces) <= limits.tokens and len(pieces) <= limits.segments and sum(r["n_loss"] for r in pieces) <= limits.loss
+    if limits.loss == 40:
+        assert max(sum(r["length"] for r in p) for p in by_seq.values()) > 200  # prompts take no share of the loss limit
+        assert max(sum(r["n_loss"] for r in p) for p in by_seq.values()) == 40
+    with pytest.raises(ValueError):
+        pack_documents(d, "", limits=Limits(loss=0))
+
+
 def test_lm_base_scores(docs):
     fold = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in corpus()}
     tokens = {i: [w.lower() for w in split(t)] + [None] for i, t in corpus()}
