@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from cytospark.plans.catalog import ORACLE_SQL, QUERIES
@@ -12,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def plain(v):
-    if v is None or isinstance(v, float) and math.isnan(v):
+    if v is None or v is pd.NA or isinstance(v, float) and math.isnan(v):
         return None
     return round(float(v), 5) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
 
