@@ -3,41 +3,55 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from .scratch import materialise
+from .scratch import discard, materialise
+
+
+def _told(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """``edges`` with ``m``, what ``least`` says of their node ``a``.
+
+    The join goes by a value that stands for ``a``, so both sides are dealt out for it,
+    and Spark may split the partition of a node with very many edges.
+    """
+    key = F.bitwise_not("a")
+    return edges.withColumn("k", key).join(least.select(key.alias("k"), "m"), "k").drop("k")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
-    """(node, component) of every node in ``edges``; the component is its smallest node.
+    """(node, component) of every node that an edge joins to another; the component is its smallest node.
 
     Each round, every node hangs all larger neighbours on its smallest one and then
     every node hangs itself on the smallest it knows, which turns components into stars
-    in a logarithmic number of rounds. Rounds restart from scratch tables. Self loops
-    and repeated edges do no harm; nulls are left out.
+    in a logarithmic number of rounds; when a round changes no edge, all are stars. Each
+    round is one write, and later rounds restart from it. Self loops and repeated edges
+    do no harm; nulls are left out.
     """
-    e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null")
-    nodes = e.select(F.col("a").alias("node")).union(e.select(F.col("b").alias("node"))).distinct()
-    e = materialise(e.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null and a <> b")
+    e = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    before = None
     for _ in range(most_rounds):
+        seen = Observation()
+        new = materialise(e, "edges", seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"))
+        now = (seen.get["n"], seen.get["x"])
+        if before is not None:
+            discard(old)
+        old = new
+        if now == before or not now[0]:
+            break
+        before = now
         # Large star: each node's larger neighbours get its smallest neighbour (or itself).
-        both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = new.union(new.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = _told(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: each node's smaller neighbours, and itself, get the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        new = materialise(small.filter("a <> b").distinct(), "edges")
-        # A forest of stars: no node is both a child and a parent, and each child has one parent.
-        row = new.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("a").alias("c")).first()
-        parents = new.select(F.col("b").alias("a")).distinct()
-        done = row["n"] == row["c"] and not new.join(parents, "a", "left_semi").take(1)
-        e = new
-        if done:
-            break
+        small = _told(large, low).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        e = small.filter("a <> b").distinct()
     else:
         raise RuntimeError("components did not settle")
-    return nodes.join(e.withColumnRenamed("a", "node"), "node", "left").select("node", F.coalesce("b", "node").alias("component"))
+    out = old.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return out.union(old.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -8,10 +8,13 @@
 3. Bands of registers are bucket keys. Inside buckets, pairs are compared by the joint
    likelihood of (less, equal, greater) registers and both set sizes; implausible pairs
    fall away, and the others' connected components are families of candidates.
-4. Families are compared on full sets, in pairs of bounded blocks, and links found
-   give the components.
+4. Families are compared on full sets, and links found give the components.
 
-A hot bucket or family is cut into blocks whose pairs are separate tasks.
+A hot bucket or family is cut into blocks. Each block compares its own members with one
+another and with a few representatives of the whole; members that this joins to the
+first representative are joined to each other, and only the rest is compared with all
+blocks. So a group of near copies costs time in proportion to its size, and no pair is
+left out but those whose documents are in one component already.
 """
 
 from __future__ import annotations
@@ -22,7 +25,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .components import connected_components, local_components
 from .scratch import materialise
@@ -38,6 +42,8 @@ SLACK = 16.0
 #: Members of a bucket, and text bytes of a family, that are compared in one piece.
 BUCKET_BLOCK = 1024
 FAMILY_BYTES = 4 << 20
+#: Representatives of a hot bucket, of a large family.
+BUCKET_HEADS, FAMILY_HEADS = 16, 4
 CHUNK_BYTES = 2 << 20
 
 #: Layers of the Poisson processes: the first ends at 2**-8, each other doubles the end.
@@ -137,7 +143,7 @@ def plausible(n1, n2, less, equal, greater, threshold: float) -> np.ndarray:
     return (most >= threshold) & ((likely >= threshold) | (best - at <= SLACK))
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], size: int, extra: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         for i, j in batches_of_bytes(offsets, CHUNK_BYTES):
@@ -148,6 +154,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
                 "bytes": pa.array(np.diff(offsets[i : j + 1]), pa.int64()),
                 "class": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 "sketch": pa.array([r.tobytes() for r in sketches(sets)], pa.binary()),
+                **{c: batch.column(c).slice(i, j - i) for c in extra},
             })
 
 
@@ -162,10 +169,10 @@ def _with_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "keys": keys})
 
 
-def _group_pairs(bounds: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs inside each group; across sides only, in groups that have side 1."""
+def _group_pairs(bounds: np.ndarray, side: np.ndarray, inner: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of each group; in groups that have a side 1, only those across, unless ``inner``."""
     sizes = np.diff(bounds)
-    two = np.add.reduceat(side, bounds[:-1]) > 0
+    two = (np.add.reduceat(side, bounds[:-1]) > 0) & (not inner)
     for s in np.unique(sizes[~two & (sizes > 1)]):
         at = bounds[:-1][(sizes == s) & ~two]
         a, b = np.triu_indices(int(s), 1)
@@ -179,31 +186,53 @@ def _group_pairs(bounds: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndar
         yield np.repeat(left, len(right)), np.tile(right, len(left))
 
 
-def _bucket_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Spanning links of plausible pairs, from rows that are sorted by group."""
+def _unsettled(bounds: np.ndarray, ids: np.ndarray, side: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Rows of side 0, in groups with representatives (side 1), that are not joined to the least of those."""
+    group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    heads = np.flatnonzero(side == 1)
+    heads = heads[np.lexsort((ids[heads], group[heads]))]
+    main = np.full(len(bounds) - 1, -1)
+    main[group[heads][::-1]] = root[heads[::-1]]
+    return np.flatnonzero((side == 0) & (main[group] >= 0) & (root != main[group]))
+
+
+LINKS = "a long, b long, grp long"
+
+
+def _link_rows(ids: np.ndarray, root: np.ndarray, rest: np.ndarray, owner: np.ndarray) -> dict[str, pa.Array]:
+    """(a, b) from each row to its root, then (a, null, bucket or family) of the unsettled ``rest``."""
+    child = np.flatnonzero(root != np.arange(len(ids)))
+    return {
+        "a": pa.array(np.r_[ids[child], ids[rest]], pa.int64()),
+        "b": pa.array(np.r_[ids[root[child]], np.zeros(len(rest), np.int64)], pa.int64(), mask=np.r_[np.zeros(len(child), bool), np.ones(len(rest), bool)]),
+        "grp": pa.array(np.r_[np.zeros(len(child), np.int64), owner[rest]], pa.int64()),
+    }
+
+
+def _bucket_links(batches: Iterator[pa.RecordBatch], threshold: float, inner: bool) -> Iterator[pa.RecordBatch]:
+    """Spanning links of plausible pairs, from rows that are sorted by group; with ``inner`` also who is unsettled."""
 
     def links(table: pa.Table) -> pa.RecordBatch:
         group = table["grp"].to_numpy()
         bounds = np.r_[0, np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)]
-        ids, n = table["doc_id"].to_numpy(), table["n"].to_numpy().astype(np.float64)
+        ids, n, side = table["doc_id"].to_numpy(), table["n"].to_numpy().astype(np.float64), table["side"].to_numpy()
         rows = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
         got_a, got_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for a, b in _group_pairs(bounds, table["side"].to_numpy()):
+        for a, b in _group_pairs(bounds, side, inner):
             for k in range(0, len(a), 100_000):
                 x, y = a[k : k + 100_000], b[k : k + 100_000]
-                fit = (ids[x] != ids[y]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]))
+                fit = np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y])
                 x, y = x[fit], y[fit]
                 equal = (rows[x] == rows[y]).sum(axis=1)
-                near = equal >= REGISTERS * (threshold - 0.3)
+                near = (equal >= REGISTERS * (threshold - 0.3)) | (ids[x] == ids[y])
                 x, y, equal = x[near], y[near], equal[near].astype(np.float64)
                 greater = (rows[x] > rows[y]).sum(axis=1).astype(np.float64)
-                keep = plausible(n[x], n[y], REGISTERS - equal - greater, equal, greater, threshold)
+                keep = plausible(n[x], n[y], REGISTERS - equal - greater, equal, greater, threshold) | (ids[x] == ids[y])
                 got_a.append(x[keep])
                 got_b.append(y[keep])
-        a, b = np.concatenate(got_a), np.concatenate(got_b)
-        root = local_components(len(ids), a, b)
-        child = np.flatnonzero(root != np.arange(len(ids)))
-        return pa.RecordBatch.from_pydict({"a": pa.array(ids[child]), "b": pa.array(ids[root[child]])})
+        root = local_components(len(ids), np.concatenate(got_a), np.concatenate(got_b))
+        rest = _unsettled(bounds, ids, side, root) if inner else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_pydict(_link_rows(ids, root, rest, table["key"].to_numpy()))
 
     rest: pa.Table | None = None
     for batch in batches:
@@ -249,7 +278,28 @@ def exact_links(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nd
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 75) -> DataFrame:
+def _in_blocks(members: DataFrame, heads: int) -> DataFrame:
+    """(doc_id, key, grp, side) from (doc_id, key, blocks): a group a block, with the representatives of keys of several."""
+    own = F.pmod(F.xxhash64("doc_id"), "blocks").cast("int")
+    plain = members.select("doc_id", "key", own.alias("block"), F.lit(0).alias("side"))
+    if heads:
+        some = members.filter("blocks > 1").groupBy("key", "blocks", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(heads)).alias("s")).agg(F.min("doc_id").alias("doc_id"))
+        some = some.select("doc_id", "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"))
+        plain = plain.unionByName(some)
+    return plain.select("doc_id", "key", F.xxhash64("key", "block").alias("grp"), "side")
+
+
+def _rest_in_blocks(rest: DataFrame, members: DataFrame, size: str | None, most: int) -> DataFrame:
+    """The unsettled members of each key, in chunks (side 1), with every block of that key (side 0)."""
+    sums = rest.groupBy("key").agg(F.ceil((F.sum(size) if size else F.count(F.lit(1))) / F.lit(most)).cast("int").alias("chunks"))
+    both = members.join(sums, "key")
+    left = both.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    right = rest.join(sums, "key").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(3)), "chunks").cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = lambda d, side: d.select("doc_id", "key", F.xxhash64("key", "block", "chunk").alias("grp"), F.lit(side).alias("side"))
+    return keyed(left, 0).unionByName(keyed(right, 1))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 75, carry: tuple[str, ...] = ()) -> DataFrame:
     """Documents linked at a Jaccard similarity of ``percent`` % of their shingle sets.
 
     Returns, for each row of ``docs``: doc_id, n_shingles, component_id (the least doc_id
@@ -258,48 +308,76 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null, empty or blank texts have empty sets and link with nothing. A null id gives a
     row of its own with a null component, kept. Rows that repeat an id are one node: each
-    gets a row, with the same component. Other columns are ignored. An empty table gives
+    gets a row, with the same component (those without words have their id). Other columns are ignored, whatever their names,
+    but for those in ``carry``, which follow the result's. An empty table gives
     an empty result. Texts of any length are taken whole.
     """
-    spark = docs.sparkSession
     threshold = percent / 100
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, n long, bytes long, class binary, sketch binary"
-    sig = materialise(docs.mapInArrow(lambda it: _signatures(it, shingle), schema), "signatures")
+    extra = [f"carried_{i}" for i in range(len(carry))]
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(x) for c, x in zip(carry, extra)))
+    schema = StructType([*StructType.fromDDL("doc_id long, n long, bytes long, class binary, sketch binary").fields, *(StructField(x, docs.schema[x].dataType, True) for x in extra)])
+    sig = materialise(docs.mapInArrow(lambda it: _signatures(it, shingle, extra), schema), "signatures")
     full = sig.filter("n > 0 and doc_id is not null")
-    classes = full.groupBy("class").agg(F.min("doc_id").alias("rep"))
-    heads = materialise(full.select("doc_id", "class", "n", "bytes", "sketch").join(classes, (full["doc_id"] == classes["rep"]) & (full["class"] == classes["class"]), "left_semi").dropDuplicates(["doc_id", "class"]), "heads")
+    heads = full.groupBy("class").agg(F.min(F.struct("doc_id", "n", "bytes", "sketch")).alias("it")).select("class", "it.*")
+    # A digest says whether an id has texts of several classes.
+    several = full.groupBy("doc_id").agg(F.min(F.xxhash64("class")).alias("lo"), F.max(F.xxhash64("class")).alias("hi")).filter("lo < hi").select("doc_id")
+    heads = materialise(heads, "heads")
 
     keys = heads.select("doc_id", "sketch").mapInArrow(_with_bands, "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = materialise(keys.join(shared, "key").select("doc_id", "key", "members"), "members")
-    hot = F.ceil(F.col("members") / F.lit(BUCKET_BLOCK)).cast("int")
-    members = members.withColumn("blocks", hot).withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-    pieces = F.expr("transform(sequence(0, blocks - 1), k -> named_struct('i', least(own, k), 'j', greatest(own, k)))")
-    members = members.withColumn("at", F.explode(pieces))
-    side = F.when((F.col("at.i") != F.col("at.j")) & (F.col("own") == F.col("at.j")), 1).otherwise(0)
-    members = members.select("doc_id", side.alias("side"), F.xxhash64("key", "at.i", "at.j").alias("grp"))
-    rows = members.join(heads.select("doc_id", "n", "sketch"), "doc_id").repartition("grp").sortWithinPartitions("grp")
-    links = rows.mapInArrow(lambda it: _bucket_links(it, threshold), "a long, b long")
-    families = materialise(connected_components(links), "families")
-
+    seen = Observation()
+    members = keys.join(shared, "key").select("doc_id", "key", F.ceil(F.col("members") / F.lit(BUCKET_BLOCK)).cast("int").alias("blocks"))
+    members = materialise(members, "members", seen, F.max("blocks").alias("most"))
+    hot = (seen.get["most"] or 0) > 1
+
+    def compared(rows: DataFrame, inner: bool) -> DataFrame:
+        rows = rows.join(heads.select("doc_id", "n", "sketch"), "doc_id").repartition("grp").sortWithinPartitions("grp")
+        return rows.mapInArrow(lambda it: _bucket_links(it, threshold, inner), LINKS)
+
+    links = compared(_in_blocks(members, BUCKET_HEADS if hot else 0), inner=True)
+    if hot:
+        links = materialise(links, "links")
+        rest = links.filter("b is null").select(F.col("a").alias("doc_id"), F.col("grp").alias("key")).distinct()
+        rest = rest.join(members.filter("blocks > 1"), ["doc_id", "key"])
+        links = links.filter("b is not null").unionByName(compared(_rest_in_blocks(rest, members.filter("blocks > 1"), None, BUCKET_BLOCK), inner=False))
+    families = connected_components(links.filter("b is not null"))
     grouped = families.join(heads.select(F.col("doc_id").alias("node"), "bytes"), "node")
     totals = grouped.groupBy("component").agg(F.sum("bytes").alias("total"))
-    grouped = grouped.join(totals, "component").withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(FAMILY_BYTES))).cast("int"))
-    grouped = grouped.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("at", F.explode(pieces))
-    grouped = grouped.select(F.col("node").alias("doc_id"), F.xxhash64("component", "at.i", "at.j").alias("grp"))
-    texts = docs.join(grouped, "doc_id").select("grp", "doc_id", "text")
+    seen = Observation()
+    grouped = grouped.join(totals, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("key"), "bytes", F.ceil(F.col("total") / F.lit(FAMILY_BYTES)).cast("int").alias("blocks"))
+    grouped = materialise(grouped.withColumn("blocks", F.greatest(F.lit(1), "blocks")), "families", seen, F.max("blocks").alias("most"))
+    large = (seen.get["most"] or 0) > 1
 
-    def confirm(table: pa.Table) -> pa.Table:
+    def confirm(table: pa.Table, inner: bool) -> pa.Table:
+        table = table.sort_by([("side", "ascending"), ("doc_id", "ascending")])
         data, offsets = text_bytes(table["text"])
         a, b = exact_links(shingle_sets(data, offsets, shingle), percent)
-        ids = table["doc_id"].to_numpy()
-        root = local_components(len(ids), a, b)
-        child = np.flatnonzero(root != np.arange(len(ids)))
-        return pa.table({"a": pa.array(ids[child]), "b": pa.array(ids[root[child]])})
-
-    found = texts.groupBy("grp").applyInArrow(confirm, "a long, b long")
-    same = full.join(classes, "class").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
-    component = connected_components(found.union(same)).withColumnRenamed("node", "doc_id")
-    out = sig.select("doc_id", F.col("n").alias("n_shingles")).join(component, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
+        ids, side = table["doc_id"].to_numpy(), table["side"].to_numpy()
+        # Rows of one document (a representative in its own block) are one.
+        order = np.argsort(ids, kind="stable")
+        same = np.flatnonzero(ids[order][1:] == ids[order][:-1])
+        root = local_components(len(ids), np.r_[a, order[same]], np.r_[b, order[same + 1]])
+        rest = _unsettled(np.array([0, len(ids)]), ids, side, root) if inner else np.zeros(0, np.int64)
+        return pa.table(_link_rows(ids, root, rest, table["key"].to_numpy()))
+
+    def checked(rows: DataFrame, inner: bool) -> DataFrame:
+        texts = docs.select("doc_id", "text").join(rows, "doc_id").select("grp", "key", "doc_id", "side", "text")
+        return texts.groupBy("grp").applyInArrow(lambda t: confirm(t, inner), LINKS)
+
+    found = checked(_in_blocks(grouped, FAMILY_HEADS if large else 0), inner=True)
+    if large:
+        found = materialise(found, "found")
+        rest = found.filter("b is null").select(F.col("a").alias("doc_id"), F.col("grp").alias("key")).distinct().join(grouped, ["doc_id", "key"])
+        found = found.filter("b is not null").unionByName(checked(_rest_in_blocks(rest, grouped.filter("blocks > 1"), "bytes", FAMILY_BYTES), inner=False))
+    found = found.filter("b is not null").select("a", "b")
+    # A class stands for all documents with its set; an id with several sets joins their classes.
+    classes = heads.select("class", F.col("doc_id").alias("rep"))
+    several = materialise(several, "several")
+    if several.take(1):
+        found = found.unionByName(full.join(several, "doc_id", "left_semi").join(classes, "class").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    component = connected_components(found).withColumnRenamed("node", "rep")
+    classes = classes.join(component, "rep", "left").select("class", F.coalesce("component", "rep").alias("component_id"))
+    own = sig.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("class"), *extra)
+    out = own.join(classes, "class", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    kept = F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), *extra).withColumnsRenamed(dict(zip(extra, carry)))

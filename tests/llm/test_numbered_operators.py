@@ -15,6 +15,7 @@ from cytospark.llm.arrow_sequences import read_documents, write_sequences
 from cytospark.llm.decontaminate import contaminated
 from cytospark.llm.language_crf import identify
 from cytospark.llm.lm_scoring import score
+from cytospark.llm import near_dedup
 from cytospark.llm.near_dedup import near_duplicates
 from cytospark.llm.packing import Limits, pack_documents
 from cytospark.llm.permutation_index import nearest
@@ -84,6 +85,57 @@ def test_near_dedup(docs):
     assert sum(not v[2] for v in got.values()) >= 4
 
 
+def exact_components(rows, percent=75):
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := split(t.lower())) else set() for i, t in rows}
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {i: top(i) for i in sets}
+
+
+def test_near_dedup_of_large_groups(spark, monkeypatch):
+    """Hot buckets and families in many blocks: copies, a chain whose ends are far apart, and unlike texts between."""
+    monkeypatch.setattr(near_dedup, "BUCKET_BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "FAMILY_BYTES", 1500)
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randint(1, 300)}" for _ in range(n)]
+    base, chain, rows = text(90), text(70), []
+    for k in range(60):
+        w = list(base)
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(90)] = f"c{k}"
+        rows.append(w)
+    for k in range(30):
+        chain[(k * 11) % 70] = f"d{k}"
+        rows.append(list(chain))
+    rows += [[*base[:55], *text(35)] for _ in range(20)] + [text(60) for _ in range(20)]
+    rng.shuffle(rows)
+    rows = [(i * 7 + 3, " ".join(w)) for i, w in enumerate(rows)]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    want = exact_components(rows)
+    assert got == want and len(set(want.values())) < 60
+
+
+def test_near_dedup_of_odd_rows(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join(f"w{rng.randint(1, 300)}" for _ in range(40))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(3, a, "x"), (5, a, "y"), (5, b, "x"), (9, b, None), (7, c, "x"), (7, c, "x"), (None, a, "x"), (None, None, "x"), (11, d, "x"), (12, None, "x"), (13, d, "x"), (13, c, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    got = sorted(((r["doc_id"] or -1, r["component_id"] or -1, r["kept"], r["c"] or "") for r in near_duplicates(df.withColumnRenamed("component_id", "class").withColumn("rep", F.lit(1)).withColumn("c", F.col("class")), carry=("c",)).collect()))
+    assert got == sorted([(3, 3, True, "x"), (5, 3, False, "y"), (5, 3, False, "x"), (9, 3, False, ""), (7, 7, True, "x"), (7, 7, True, "x"), (-1, -1, True, "x"), (-1, -1, True, "x"), (11, 7, False, "x"), (12, 12, True, "x"), (13, 7, False, "x"), (13, 7, False, "x")])
+    assert near_duplicates(df.limit(0)).count() == 0 and near_duplicates(df.filter("text is null")).count() == 2
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 16)).astype(np.float32)
