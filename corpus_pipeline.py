@@ -41,9 +41,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     nameless = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     rows = docs.filter(~nameless).select(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text").alias("row"), *COLUMNS)
-    nodes = near_duplicates(rows, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
-    members = nodes.join(rows.select("row", "doc_id").distinct(), "row")
-    least = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("least"))
+    nodes = near_duplicates(rows.withColumnRenamed("doc_id", "id"), id_col="row", carry=("id",))
+    least = nodes.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", F.col("doc_id").alias("row"))).alias("least"))
     single = rows.groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("it"))
     kept = single.join(least.select(F.col("least.row").alias("row")), "row", "left_semi").select("it.*")
     return kept.unionByName(docs.filter(nameless).select(*COLUMNS))
