@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .blocks import corpus_size, ordered_blocks
+from .blocks import ordered_blocks
 from .scratch import materialise
 from .textkit import batches_of_bytes, text_bytes
 from .tokenise import encoder
@@ -61,14 +61,14 @@ def write_sequences(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int =
 
     ``out_dir`` is a URI that every executor can write to. Each document's ids are
     followed by ``end_id``. Null and empty texts consist of that id alone. Rows that share
-    an id are separate documents, ordered by text; null ids come first. Other columns
+    an id are separate documents, ordered by a hash of the text; null ids come first. Other columns
     are ignored; an empty table writes no shard.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    n_blocks = max(1, -(-corpus_size(docs, "text")[1] // block_bytes))
+    blocked, _ = ordered_blocks(docs, "doc_id", "text", block_bytes)
 
     def shard(table: pa.Table) -> pa.Table:
-        table = table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start"))
+        table = table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("place", "ascending"), ("text", "ascending")], null_placement="at_start"))
         number = table["block"][0].as_py()
         bpe = encoder(tokenizer)
         data, offsets = text_bytes(table["text"])
@@ -84,7 +84,7 @@ def write_sequences(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int =
         _write(fs, f"{root}/shard-{number:08d}.index.arrow", index.schema, iter([index]))
         return pa.table({"shard": pa.array([number], pa.int32()), "path": [f"{root}/shard-{number:08d}"], "documents": pa.array([len(ends)], pa.int64()), "tokens": pa.array([len(ids)], pa.int64())})
 
-    return materialise(ordered_blocks(docs, "doc_id", n_blocks).groupBy("block").applyInArrow(shard, SHARDS), "shards")
+    return materialise(blocked.groupBy("block").applyInArrow(shard, SHARDS), "shards")
 
 
 def with_starts(shards: DataFrame, wide: int = 1024) -> DataFrame:

@@ -39,12 +39,71 @@ def _longest(start: int, tokens: int, free: int, loss_from: int, loss: int) -> i
     return min(tokens - start, free, max(0, loss_from - start) + loss)
 
 
+class _Needs:
+    """Open examples by what they need: equal needs share a row, so a choice looks at the distinct ones."""
+
+    def __init__(self, cap: np.ndarray):
+        self.cap, self.rows = cap, 0
+        self.need, self.share = np.zeros((64, 3)), np.zeros((64, 3))
+        self.open = np.zeros(64, bool)
+        self.held: list[list[int]] = []
+        self.row_of: dict[tuple[int, int], int] = {}
+
+    def add(self, example: int, tokens: int, loss: int) -> None:
+        k = self.row_of.get((tokens, loss))
+        if k is None:
+            if self.rows == len(self.need):
+                self._close_up()
+            k = self.row_of[tokens, loss] = self.rows
+            if k == len(self.need):
+                self.need, self.share, self.open = (np.concatenate([x, np.zeros_like(x)]) for x in (self.need, self.share, self.open))
+            self.need[k] = tokens, 1, loss
+            self.share[k] = self.need[k] / self.cap
+            self.held.append([])
+            self.rows += 1
+        self.held[k].append(example)
+        self.open[k] = True
+
+    def _close_up(self) -> None:
+        """Drop the rows of needs that no example has any more."""
+        keep = np.flatnonzero(self.open[: self.rows])
+        if 2 * len(keep) > self.rows:
+            return
+        for x in (self.need, self.share, self.open):
+            x[: len(keep)] = x[keep]
+        self.open[len(keep) :] = False
+        self.held = [self.held[k] for k in keep]
+        self.rows = len(keep)
+        self.row_of = {(int(n[0]), int(n[2])): k for k, n in enumerate(self.need[: self.rows])}
+
+    def _take(self, k: int) -> int:
+        example = self.held[k].pop()
+        self.open[k] = bool(self.held[k])
+        return example
+
+    def remove(self, example: int, tokens: int, loss: int) -> None:
+        k = self.row_of[tokens, loss]
+        self.held[k].remove(example)
+        self.open[k] = bool(self.held[k])
+
+    def best(self, room: np.ndarray) -> int | None:
+        """The example that fits whole and is best aligned with ``room``, by dot product."""
+        n = self.rows
+        fits = self.open[:n] & (self.need[:n] <= room).all(axis=1)
+        if not fits.any():
+            return None
+        return self._take(int(np.argmax(np.where(fits, self.share[:n] @ (room / self.cap), -1.0))))
+
+    def longest(self) -> int:
+        return self._take(int(np.argmax(np.where(self.open[: self.rows], self.need[: self.rows, 0], -1.0))))
+
+
 def pack(tokens: np.ndarray, loss_from: np.ndarray, limits: Limits = Limits()) -> np.ndarray:
     """Pieces (example, start, length, sequence, offset) that hold every token once.
 
-    Tokens of an example from position ``loss_from`` on bear loss. What the last sequence
-    holds is cut into sequences whose lengths are powers of two, which need no padding;
-    an example without tokens has no piece.
+    Tokens of an example from position ``loss_from`` on bear loss. Sequences that the
+    limits on segments or loss close early, and those of what is left in the end, are cut
+    at a power of two, which needs no padding; an example without tokens has no piece.
     """
     out: list[tuple[int, int, int, int, int]] = []
     sequence = 0
@@ -54,56 +113,69 @@ def pack(tokens: np.ndarray, loss_from: np.ndarray, limits: Limits = Limits()) -
         n, lf = int(tokens[i]), int(loss_from[i])
         while True:
             take = _longest(int(start[i]), n, limits.tokens, lf, limits.loss)
-            loss = int(start[i]) + take - max(int(start[i]), lf)
-            if take < limits.tokens and loss < limits.loss:
+            if take < limits.tokens:
                 break
             out.append((int(i), int(start[i]), take, sequence, 0))
             start[i] += take
             sequence += 1
             if start[i] >= n:
                 break
-    left = np.flatnonzero(tokens > start)
-    need = np.stack([tokens - start, np.ones(len(tokens), np.int64), tokens - np.maximum(start, loss_from)], axis=1)[left].astype(np.float64)
     cap = np.array([limits.tokens, limits.segments, limits.loss], np.float64)
-    share = need / cap
-    open_ = np.ones(len(left), bool)
-    remaining = int(need[:, 0].sum())
-    room = cap.copy()
-    used = 0
-
-    def place(k: int, take: int) -> None:
-        nonlocal used, remaining
-        i = left[k]
-        out.append((int(i), int(start[i]), take, sequence, used))
-        lost = max(0, int(start[i]) + take - max(int(start[i]), int(loss_from[i])))
-        start[i] += take
-        used += take
-        remaining -= take
-        room[:] -= (take, 1, lost)
-        need[k] -= (take, 0, lost)
-        if need[k, 0] <= 0:
-            open_[k] = False
-        share[k] = need[k] / cap
+    needs = _Needs(cap)
+
+    def _left(i: int) -> tuple[int, int]:
+        return int(tokens[i] - start[i]), int(max(0, tokens[i] - max(start[i], loss_from[i])))
 
+    def put_back(i: int) -> None:
+        if start[i] < tokens[i]:
+            needs.add(i, *_left(i))
+
+    for i in np.flatnonzero(tokens > start):
+        put_back(int(i))
+    remaining = int((tokens - start).sum())
     while remaining:
-        if used == 0 and remaining < limits.tokens:
-            room[0] = 1 << (remaining.bit_length() - 1)  # the tail: powers of two
-        fits = open_ & (need <= room).all(axis=1)
-        if fits.any():
-            score = share @ (room / cap)
-            k = int(np.argmax(np.where(fits, score, -1.0)))
-            place(k, int(need[k, 0]))
-        elif room[0] > 0 and room[1] > 0:
-            k = int(np.argmax(np.where(open_, need[:, 0], -1.0)))
-            i = left[k]
+        room = cap.copy()
+        if remaining < limits.tokens:
+            room[0] = 1 << (remaining.bit_length() - 1)
+        here: list[tuple[int, int]] = []
+        while room[0] > 0 and room[1] > 0 and remaining:
+            i = needs.best(room)
+            if i is None:
+                i = needs.longest()
             take = _longest(int(start[i]), int(tokens[i]), int(room[0]), int(loss_from[i]), int(room[2]))
-            if take > 0:
-                place(k, take)
-            else:
-                room[0] = 0
-        if room[0] <= 0 or room[1] <= 0 or not remaining:
-            sequence, used = sequence + 1, 0
-            room = cap.copy()
+            if take <= 0:
+                put_back(i)
+                break
+            lost = max(0, int(start[i]) + take - max(int(start[i]), int(loss_from[i])))
+            here.append((i, take))
+            start[i] += take
+            remaining -= take
+            room -= (take, 1, lost)
+            put_back(i)
+        used = sum(t for _, t in here)
+        over = 0 if used == limits.tokens else used - (1 << (used.bit_length() - 1))
+        undone: set[int] = set()
+        while over:
+            i, take = here.pop()
+            if i not in undone and start[i] < tokens[i]:
+                needs.remove(i, *_left(i))
+            undone.add(i)
+            back = min(take, over)
+            if take > back:
+                here.append((i, take - back))
+            over, remaining = over - back, remaining + back
+            start[i] -= back
+        for i in sorted(undone):
+            put_back(i)
+        begin: dict[int, int] = {}
+        for i, take in here:
+            begin[i] = begin.get(i, int(start[i])) - take
+        offset = 0
+        for i, take in here:
+            out.append((i, begin[i], take, sequence, offset))
+            begin[i] += take
+            offset += take
+        sequence += 1
     return np.array(out, np.int64).reshape(-1, 5)
 
 

@@ -1,6 +1,7 @@
 """Removal of repeated token windows (exact substring deduplication).
 
-Every window of ``window`` consecutive words gets a Rabin-Karp hash. Documents are
+Every window of ``window`` consecutive words gets two Rabin-Karp hashes, 96 bits in all, so
+that unlike windows are held to be equal about never, in 10**13 windows too. Documents are
 grouped into blocks of ascending id; each block sends its distinct window hashes to
 buckets, and each bucket answers which of them the block holds first. A window that
 starts earlier anywhere else is repeated; runs of repeated windows merge into maximal
@@ -16,10 +17,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from .blocks import bucket_slices, corpus_size, ordered_blocks, pack_sorted, unpack_sorted
-from .textkit import batches_of_bytes, span_hashes, text_bytes, window_hashes, word_spans
+from .blocks import bucket_slices, ordered_blocks, pack_sorted, pieces, unpack_sorted
+from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, window_hashes, word_spans
 
-#: Bytes of text that one block holds, and that are hashed at a time.
+#: Bytes of text that one block holds at most, and that are hashed at a time; a bucket holds the windows of twice a block.
 BLOCK_BYTES = 8 << 20
 CHUNK_BYTES = 1 << 20
 
@@ -27,22 +28,37 @@ RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:in
 
 
 def _in_order(table: pa.Table) -> pa.Table:
-    """Rows by id, nulls first, then text."""
-    return table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start"))
+    """Rows by id, nulls first, then place, then text."""
+    return table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("place", "ascending"), ("text", "ascending")], null_placement="at_start"))
 
 
-def _windows(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of the texts in their order, and the number of each text's words."""
+def _windows(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all windows of the texts in their order (64 and 32 bits), and the number of each text's words."""
     data, offsets = text_bytes(table["text"])
-    hashes, counts = [np.zeros(0, np.uint64)], np.zeros(table.num_rows, np.int64)
+    hashes, more, counts = [np.zeros(0, U64)], [np.zeros(0, np.uint32)], np.zeros(table.num_rows, np.int64)
     for i, j in batches_of_bytes(offsets, CHUNK_BYTES):
         part = data[offsets[i] : offsets[j]]
         starts, ends, doc = word_spans(part, offsets[i : j + 1] - offsets[i])
         counts[i:j] = np.bincount(doc, minlength=j - i)
-        h = window_hashes(span_hashes(part, starts, ends), window)
+        words = span_hashes(part, starts, ends)
+        h = window_hashes(words, window)
         if len(h):
-            hashes.append(h[doc[: len(h)] == doc[window - 1 :]])
-    return np.concatenate(hashes), counts
+            inside = doc[: len(h)] == doc[window - 1 :]
+            hashes.append(h[inside])
+            more.append((window_hashes(mix(words + U64(0x5851F42D4C957F2D)), window)[inside] >> U64(32)).astype(np.uint32))
+    return np.concatenate(hashes), np.concatenate(more), counts
+
+
+def _ranked(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of the hashes by (high, low), and whether each in it differs from the one before."""
+    order = np.argsort(high, kind="stable")
+    h, w = high[order], low[order]
+    same, other = h[1:] == h[:-1], w[1:] != w[:-1]
+    if (same & other).any():
+        order = np.lexsort((low, high))
+        h, w = high[order], low[order]
+        same, other = h[1:] == h[:-1], w[1:] != w[:-1]
+    return order, np.r_[np.ones(min(1, len(order)), bool), ~same | other]
 
 
 def _spans(repeated: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +78,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     positions, end exclusive) and the ``kept`` words joined by one space.
 
     Null or blank texts have no words and an empty ``kept``. Rows with a null id come
-    before all others; rows that share an id are separate documents ordered by text. Very long
+    before all others; rows that share an id are separate documents ordered by a hash of the text. Very long
     texts are hashed whole. An empty table gives an empty result. Other columns are
     ignored, whatever their names, but for those in ``carry``, which follow the result's.
     """
@@ -71,24 +87,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kinds = StructType([StructField(x, docs.schema[x].dataType, True) for x in extra])
     result = StructType([*StructType.fromDDL(RESULT).fields, *kinds.fields])
     empty = to_arrow_schema(result).empty_table()
-    n_blocks = max(1, -(-corpus_size(docs, "text")[1] // block_bytes))
-    blocked = ordered_blocks(docs, "doc_id", n_blocks)
+    blocked, total = ordered_blocks(docs, "doc_id", "text", block_bytes)
+    n_buckets = pieces(total, 2 * block_bytes)
 
     def send(table: pa.Table) -> pa.Table:
-        keys = np.unique(_windows(_in_order(table), window)[0])
-        rows = [(b, pack_sorted(keys[s])) for b, s in bucket_slices(keys, n_blocks)]
+        high, low, _ = _windows(_in_order(table), window)
+        order, new = _ranked(high, low)
+        keys, more = high[order[new]], low[order[new]]
+        rows = [(b, pack_sorted(keys[s]), more[s].astype("<u4").tobytes()) for b, s in bucket_slices(keys, n_buckets)]
         block = table["block"][0].as_py()
-        return pa.table({"block": pa.array([block] * len(rows), pa.int32()), "bucket": pa.array([r[0] for r in rows], pa.int32()), "keys": pa.array([r[1] for r in rows], pa.binary())})
+        return pa.table({"block": pa.array([block] * len(rows), pa.int32()), "bucket": pa.array([r[0] for r in rows], pa.int32()), "keys": pa.array([r[1] for r in rows], pa.binary()), "more": pa.array([r[2] for r in rows], pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
         parts = [unpack_sorted(x.as_buffer().to_pybytes()) for x in table["keys"]]
         ends = np.cumsum([len(p) for p in parts])
-        keys = np.concatenate(parts)
-        order = np.argsort(keys, kind="stable")
-        ranked = keys[order]
-        again = np.zeros(len(keys), bool)
-        again[order[1:]] = ranked[1:] == ranked[:-1]
+        more = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["more"]])
+        order, new = _ranked(np.concatenate(parts), more)
+        again = np.zeros(len(order), bool)
+        again[order] = ~new
         flags = [np.packbits(f).tobytes() for f in np.split(again, ends[:-1])]
         return pa.table({"block": table["block"], "bucket": table["bucket"], "again": pa.array(flags, pa.binary())})
 
@@ -96,14 +113,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if not table.num_rows:
             return empty
         table = _in_order(table)
-        hashes, counts = _windows(table, window)
-        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        high, low, counts = _windows(table, window)
+        order, new = _ranked(high, low)
+        keys = high[order[new]]
         flags = dict(zip(answers["bucket"].to_pylist(), answers["again"].to_pylist()))
         again = np.zeros(len(keys), bool)
-        for b, s in bucket_slices(keys, n_blocks):
+        for b, s in bucket_slices(keys, n_buckets):
             again[s] = np.unpackbits(np.frombuffer(flags[b], np.uint8), count=s.stop - s.start).astype(bool)
-        repeated = again[which]
-        repeated |= first[which] != np.arange(len(hashes))
+        # The order is stable, so the first of equal windows is the earliest.
+        repeated = np.empty(len(order), bool)
+        repeated[order] = again[np.cumsum(new) - 1] | ~new
         at, removed, spans, kept = 0, [], [], []
         for text, n in zip(table["text"], counts):
             m = max(0, int(n) - window + 1)
@@ -121,6 +140,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         return pa.table({"doc_id": table["doc_id"], "n_words": pa.array(counts), "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.string()), **{x: table[x] for x in extra}})
 
-    sent = blocked.groupBy("block").applyInArrow(send, "block int, bucket int, keys binary")
+    sent = blocked.groupBy("block").applyInArrow(send, "block int, bucket int, keys binary, more binary")
     answers = sent.groupBy("bucket").applyInArrow(answer, "block int, bucket int, again binary")
     return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, result).withColumnsRenamed(dict(zip(extra, carry)))

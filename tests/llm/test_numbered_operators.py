@@ -17,7 +17,7 @@ from cytospark.llm.language_crf import identify
 from cytospark.llm.lm_scoring import score
 from cytospark.llm import near_dedup
 from cytospark.llm.near_dedup import near_duplicates
-from cytospark.llm.packing import Limits, pack_documents
+from cytospark.llm.packing import Limits, pack, pack_documents
 from cytospark.llm.permutation_index import nearest
 from cytospark.llm.quality import quality_scores
 from cytospark.llm.scratch import scratch_path
@@ -218,6 +218,31 @@ def test_packing_with_prompts(spark, limits):
         pack_documents(d, "", limits=Limits(loss=0))
 
 
+@pytest.mark.parametrize("limits", [Limits(), Limits(2048, 8, 500), Limits(256, 6, 40), Limits(64, 3, 100)])
+@pytest.mark.parametrize("kind", ["tiny", "mixed", "edges"])
+def test_packer_alone(limits, kind):
+    rng = np.random.default_rng(2)
+    tokens = {"tiny": np.full(1500, 3), "mixed": rng.lognormal(5, 1.5, 300).astype(int) + 1, "edges": np.array([0, 1, 2047, 2048, 2049, 5000])}[kind]
+    first = (tokens * rng.random(len(tokens))).astype(int)
+    by_doc, by_seq = {}, {}
+    for e, s, n, q, o in pack(tokens, first, limits).tolist():
+        by_doc.setdefault(e, []).append((s, n))
+        by_seq.setdefault(q, []).append((o, n, max(0, s + n - max(s, first[e]))))
+    for e, n in enumerate(tokens):
+        at = 0
+        for s, k in sorted(by_doc.get(e, [])):
+            assert s == at and k > 0
+            at += k
+        assert at == n
+    for pieces in by_seq.values():
+        at = 0
+        for o, n, _ in sorted(pieces):
+            assert o == at
+            at += n
+        assert at == limits.tokens or at & (at - 1) == 0  # nothing to pad
+        assert at <= limits.tokens and len(pieces) <= limits.segments and sum(k for *_, k in pieces) <= limits.loss
+
+
 def test_lm_base_scores(docs):
     fold = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in corpus()}
     tokens = {i: [w.lower() for w in split(t)] + [None] for i, t in corpus()}
