@@ -15,7 +15,7 @@ from cytospark.llm.arrow_sequences import read_documents, write_sequences
 from cytospark.llm.decontaminate import contaminated
 from cytospark.llm.language_crf import identify
 from cytospark.llm.lm_scoring import score
-from cytospark.llm import near_dedup
+from cytospark.llm import decontaminate, near_dedup
 from cytospark.llm.near_dedup import near_duplicates
 from cytospark.llm.packing import Limits, pack, pack_documents
 from cytospark.llm.permutation_index import nearest
@@ -289,3 +289,54 @@ def test_url_filters(spark):
     for most in (200_000, 0):
         got = {r["page_id"]: (r["n_active"], r["entry"], r["blocked"]) for r in match_captures(pages, events, broadcast_rows=most).collect()}
         assert got == {1: (2, "a.b.com/x", True), 2: (0, None, False), 3: (0, None, False), 4: (0, None, False), 5: (1, "a.b.com/x", True)}
+
+
+def plain_words(text):
+    marks = "".join(chr(c) for r in ((33, 48), (58, 65), (91, 97), (123, 127)) for c in range(*r))
+    return [w.lower().strip(marks) or w.lower() for w in split(text)]
+
+
+def common_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_decontamination_of_paraphrases(spark, monkeypatch):
+    """Items with up to a quarter of their words replaced, against the common subsequence of all pairs; many passes and slices."""
+    monkeypatch.setattr(decontaminate, "PASS_ITEMS", 9)
+    monkeypatch.setattr(decontaminate, "SLICE_ITEMS", 4)
+    rng = random.Random(12)
+    words = [f"{rng.choice('bcdfghk')}{rng.choice('aeiou')}{i}" for i in range(900)]
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [text(rng.randint(18, 40)) for _ in range(20)]
+    rows, planted = [], set()
+    for i in range(80):
+        body = text(rng.randint(60, 200))
+        if i % 2:
+            k = rng.randrange(20)
+            share, copy = rng.choice((0, 0.15, 0.22)), list(items[k])
+            for at in rng.sample(range(len(copy)), int(share * len(copy))):
+                copy[at] = rng.choice(words)
+            at = rng.randrange(len(body))
+            body[at:at] = copy
+            planted.add((i, k))
+        rows.append((i, " ".join(body).capitalize() + "."))
+    rows += [(80, rows[1][1]), (None, rows[1][1]), (81, None), (82, "")]
+    bench = [(k, " ".join(w)) for k, w in enumerate(items)] + [(50, " ".join(items[3])), (None, " ".join(items[3]))]
+    found = contaminated(spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit(1)), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    want = set()
+    for d, t in rows:
+        for k, item in bench:
+            if t and common_length(plain_words(item), plain_words(t)) >= 0.75 * len(item.split()):
+                want.add((d, k))
+    assert planted <= {(d, k) for d, k in want} and len(got & want) >= 0.97 * len(want)
+    texts, itexts = dict(rows), dict(bench)
+    for r in found:
+        item, own = plain_words(itexts[r["item_id"]]), plain_words(texts[r["doc_id"]])
+        share = common_length(item, own[r["start"] : r["end"]]) / len(item)
+        assert r["covered"] == pytest.approx(share) and share >= 0.6
