@@ -3,7 +3,7 @@
 A shard is an Arrow IPC file (uncompressed, so it can be memory-mapped) whose batches
 hold two fixed-size-list columns: ``ids`` (unsigned integers just wide enough for the
 vocabulary) and ``mask`` (true for a real token, false for padding). Sequence k of a
-shard is found by arithmetic alone, without reading others. Beside it lies an index file
+shard is found by arithmetic alone, without reading others (``SequenceFile``). Beside it lies an index file
 with each document's id, start in the shard and number of tokens. Shards follow one
 another in ascending document id.
 """
@@ -80,7 +80,7 @@ def write_sequences(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int =
         fs.create_dir(root, recursive=True)
         schema = sequence_schema(length, max(end_id, len(bpe.width) - 3))
         _write(fs, f"{root}/shard-{number:08d}.arrow", schema, _sequences(ids, length, schema))
-        index = pa.RecordBatch.from_pydict({"doc_id": table["doc_id"].combine_chunks() if table["doc_id"].num_chunks != 1 else table["doc_id"].chunk(0), "start": pa.array(starts, pa.int64()), "n_tokens": pa.array(ends - starts, pa.int64())})
+        index = pa.RecordBatch.from_pydict({"doc_id": pa.concat_arrays(table["doc_id"].chunks), "start": pa.array(starts, pa.int64()), "n_tokens": pa.array(ends - starts, pa.int64())})
         _write(fs, f"{root}/shard-{number:08d}.index.arrow", index.schema, iter([index]))
         return pa.table({"shard": pa.array([number], pa.int32()), "path": [f"{root}/shard-{number:08d}"], "documents": pa.array([len(ends)], pa.int64()), "tokens": pa.array([len(ids)], pa.int64())})
 
@@ -96,23 +96,69 @@ def with_starts(shards: DataFrame, wide: int = 1024) -> DataFrame:
     return groups.withColumn("own", own).join(tops, "grp").withColumn("before", F.col("base") + F.col("own")).drop("grp", "own", "base")
 
 
-def read_documents(shards: DataFrame, out_dir: str) -> DataFrame:
-    """Each document's ids (little-endian unsigned 32-bit) and start, cut from the shard files again."""
+class SequenceFile:
+    """Random access to the sequences of one shard.
+
+    A file on this machine is memory-mapped, so ``sequence(k)`` touches the pages of that
+    sequence alone and copies nothing; elsewhere one batch is read.
+    """
+
+    def __init__(self, path: str, fs: pafs.FileSystem | None = None):
+        self._source = pa.memory_map(path) if fs is None or isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(path)
+        self._file = pa.ipc.open_file(self._source)
+        self.length = self._file.schema.field("ids").type.list_size
+
+    def __enter__(self) -> SequenceFile:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._source.close()
+
+    def __len__(self) -> int:
+        n = self._file.num_record_batches
+        return (n - 1) * BATCH_ROWS + self._file.get_batch(n - 1).num_rows if n else 0
+
+    def sequence(self, k: int) -> tuple[np.ndarray, pa.Array]:
+        """Ids (a view of the file) and mask of sequence ``k``."""
+        if k < 0:
+            raise IndexError(k)
+        batch, row = self._file.get_batch(k // BATCH_ROWS), k % BATCH_ROWS
+        at = slice(row * self.length, (row + 1) * self.length)
+        ids, mask = (batch.column(c).values for c in ("ids", "mask"))
+        if at.start >= len(ids):
+            raise IndexError(k)
+        return ids[at].to_numpy(), mask[at]
+
+    def tokens(self, start: int, stop: int) -> np.ndarray:
+        """Tokens from ``start`` to ``stop`` of the shard; only the batches that hold them are read."""
+        size = self.length * BATCH_ROWS
+        parts = [np.zeros(0, np.uint16)]
+        for k in range(start // size, -(-stop // size)):
+            flat = self._file.get_batch(k).column("ids").values.to_numpy()
+            parts.append(flat[max(0, start - k * size) : stop - k * size])
+        return np.concatenate(parts)
+
+
+def read_documents(shards: DataFrame, out_dir: str, most_tasks: int = 20_000) -> DataFrame:
+    """Each document's ids (little-endian unsigned 32-bit) and start, cut from the shard files again.
+
+    Shards are read in as many tasks as there are, up to ``most_tasks``, some batches at a time.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = pafs.FileSystem.from_uri(out_dir)
         for batch in batches:
             for before, path in zip(batch.column("before").to_pylist(), batch.column("path").to_pylist()):
-                with fs.open_input_file(f"{path}.arrow") as f:
-                    file = pa.ipc.open_file(f)
-                    flat = [file.get_batch(k).column("ids").flatten().to_numpy() for k in range(file.num_record_batches)]
-                ids = np.concatenate(flat) if flat else np.zeros(0, np.uint16)
                 with fs.open_input_file(f"{path}.index.arrow") as f:
-                    index = pa.ipc.open_file(f).read_all()
+                    index = pa.ipc.open_file(f).read_all().combine_chunks()
                 start, n = index["start"].to_numpy(), index["n_tokens"].to_numpy()
-                for i, j in batches_of_bytes(np.r_[0, np.cumsum(n)], 1 << 20):
-                    parts = [ids[s : s + k].astype("<u4").tobytes() for s, k in zip(start[i:j], n[i:j])]
-                    own = index.slice(i, j - i).combine_chunks()
-                    yield pa.RecordBatch.from_pydict({"doc_id": own["doc_id"].combine_chunks() if own["doc_id"].num_chunks != 1 else own["doc_id"].chunk(0), "start": pa.array(start[i:j] + before), "n_tokens": pa.array(n[i:j]), "ids": pa.array(parts, pa.binary())})
-
-    return with_starts(shards).select("before", "path").repartition("path").mapInArrow(read, ROWS)
+                ids = pa.concat_arrays(index["doc_id"].chunks)
+                with SequenceFile(f"{path}.arrow", fs) as file:
+                    for i, j in batches_of_bytes(np.r_[0, np.cumsum(n)], 1 << 20):
+                        own = file.tokens(int(start[i]), int(start[j - 1] + n[j - 1])).astype("<u4")
+                        at = start[i:j] - start[i]
+                        parts = [own[s : s + k].tobytes() for s, k in zip(at.tolist(), n[i:j].tolist())]
+                        yield pa.RecordBatch.from_pydict({"doc_id": ids.slice(i, j - i), "start": pa.array(start[i:j] + before), "n_tokens": pa.array(n[i:j]), "ids": pa.array(parts, pa.binary())})
+
+    tasks = max(1, min(most_tasks, shards.count()))
+    return with_starts(shards).select("before", "path").repartition(tasks, "path").mapInArrow(read, ROWS)

@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cytospark.llm.arrow_sequences import read_documents, write_sequences
+from cytospark.llm.arrow_sequences import SequenceFile, read_documents, write_sequences
+from cytospark.llm.blocks import ordered_blocks
 from cytospark.llm.decontaminate import contaminated
 from cytospark.llm.language_crf import identify
 from cytospark.llm.lm_scoring import score
@@ -171,6 +172,68 @@ def test_arrow_sequences(spark, docs):
         want[i] = (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert got == want
+    flat = np.concatenate([ids_of("byte_bpe_50k.json", t, 0) for _, t in corpus()])
+    at = 0
+    for r in sorted(shards.collect(), key=lambda r: r["shard"]):
+        with SequenceFile(r["path"] + ".arrow") as f:
+            assert len(f) == -(-r["tokens"] // 2048)
+            for k in reversed(range(len(f))):
+                ids, mask = f.sequence(k)
+                n = min(2048, r["tokens"] - 2048 * k)
+                assert (ids[:n] == flat[at + 2048 * k :][:n]).all() and not ids[n:].any() and mask.to_pylist() == [True] * n + [False] * (2048 - n)
+                assert not ids.flags.owndata
+            with pytest.raises(IndexError):
+                f.sequence(len(f))
+        at += r["tokens"]
+
+
+def test_arrow_sequences_of_odd_rows(spark):
+    rows = [(7, "b b"), (None, "n"), (7, "a"), (7, "a"), (None, None), (2, "z " * 3000)]
+    d = spark.createDataFrame([(i, t, 1, "p") for i, t in rows], "doc_id long, text string, start int, path string").repartition(2)
+    out = scratch_path(spark, "sequences")
+    got = sorted(((r["start"], r["doc_id"], bytes(r["ids"])) for r in read_documents(write_sequences(d, out, public_tokenizers.path("byte_bpe_50k.json"), block_bytes=4000), out).collect()))
+    at = 0
+    for start, _, ids in got:
+        assert start == at
+        at += len(ids) // 4
+    assert [i for _, i, _ in got] == [None, None, 2, 7, 7, 7]
+    assert sorted(x for *_, x in got) == sorted(ids_of("byte_bpe_50k.json", t, 0).tobytes() for _, t in rows)
+    assert read_documents(write_sequences(d.limit(0), out + "-0", public_tokenizers.path("byte_bpe_50k.json")), out + "-0").count() == 0
+
+
+def test_blocks_split_what_is_large(spark):
+    """Repeated and null ids fill several blocks; all blocks together keep the order."""
+    rows = [(5, f"text {i} " + "w " * 40) for i in range(400)] + [(None, f"n {i} " + "w " * 40) for i in range(300)] + [(i * i, "x " * (i % 50)) for i in range(200)]
+    d, total = ordered_blocks(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text", 4000)
+    got = [(r["block"], r["doc_id"] is not None, r["doc_id"] or 0, r["place"], len(r["text"])) for r in d.collect()]
+    assert [g[0] for g in sorted(got, key=lambda g: g[1:4])] == sorted(g[0] for g in got)
+    size = {}
+    for b, *_, n in got:
+        size[b] = size.get(b, 0) + n + 16
+    assert total == sum(size.values()) and max(size.values()) < 0.1 * total
+    assert len({g[0] for g in got if g[2] == 5}) > 5 and len({g[0] for g in got if not g[1]}) > 5
+
+
+def test_substring_dedup_of_odd_rows(spark):
+    """Null and repeated ids: windows are removed where an earlier row of the order has them."""
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"w{rng.randint(1, 99)}" for _ in range(n))
+    a, b = text(50), text(45)
+    rows = [(None, a), (None, text(30) + " " + a), (3, a), (3, a), (3, text(25) + "\x0b" + b), (9, b), (9, None), (4, " ")] + [(3, text(40)) for _ in range(60)]
+    d = spark.createDataFrame([(i, t, 1, "k", 0) for i, t in rows], "doc_id long, text string, block int, keys string, place int").repartition(3)
+    place = {r["text"]: r["p"] for r in d.select("text", F.shiftrightunsigned(F.xxhash64("text"), 1).alias("p")).collect()}
+    seen, want = set(), []
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, place[r[1]])):
+        w, cut = split(t), set()
+        for k in range(len(w) - 19):
+            key = tuple(w[k : k + 20])
+            if key in seen:
+                cut |= set(range(k, k + 20))
+            seen.add(key)
+        want.append((i or -1, len(w), " ".join(x for k, x in enumerate(w) if k not in cut), 1, "k"))
+    out = remove_repeats(d, block_bytes=3000, carry=("block", "keys"))
+    got = [(r["doc_id"] or -1, r["n_words"], r["kept"], r["block"], r["keys"]) for r in out.collect()]
+    assert sorted(got) == sorted(want)
 
 
 def test_packing(docs):
