@@ -16,7 +16,7 @@ from cytospark.llm.blocks import ordered_blocks
 from cytospark.llm.decontaminate import contaminated
 from cytospark.llm.language_crf import identify
 from cytospark.llm.lm_scoring import score
-from cytospark.llm import decontaminate, near_dedup
+from cytospark.llm import decontaminate, lm_scoring, near_dedup
 from cytospark.llm.near_dedup import near_duplicates
 from cytospark.llm.packing import Limits, pack, pack_documents
 from cytospark.llm.permutation_index import nearest
@@ -306,20 +306,68 @@ def test_packer_alone(limits, kind):
         assert at <= limits.tokens and len(pieces) <= limits.segments and sum(k for *_, k in pieces) <= limits.loss
 
 
-def test_lm_base_scores(docs):
-    fold = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in corpus()}
-    tokens = {i: [w.lower() for w in split(t)] + [None] for i, t in corpus()}
-    count = {}
-    for i, ws in tokens.items():
-        if fold[i] != 2:
-            for w in ws:
-                count[w] = count.get(w, 0) + 1
-    n, v = sum(count.values()), len(count)
-    for r in score(docs, fold_of(7), folds=7, scored_fold=2, deleted_fold=3, block_bytes=5000).collect():
-        ws = tokens[r["doc_id"]]
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (fold[r["doc_id"]] == 2, len(ws), sum(w in count for w in ws), n)
-        assert r["base_score"] == pytest.approx(sum(math.log10((count.get(w, 0) + 1) / (n + v + 1)) for w in ws), rel=1e-9)
-        assert math.isfinite(r["score"]) and r["score"] < 0
+def brute_language_model(rows, fold, scored=2, deleted=3):
+    """Scores from dictionaries of n-gram counts, with the same held-out cells and the fit under test."""
+    tokens = [[w.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for w in split(t)] + ["</s>"] for _, t in rows]
+
+    def count(keep):
+        c = {}
+        for i, ws in enumerate(tokens):
+            if keep(fold[i]):
+                for k, w in enumerate(ws):
+                    far, near = ws[k - 2] if k > 1 else "<s>", ws[k - 1] if k else "<s>"
+                    for key in ((w,), (near, w), (far, near, w)):
+                        c[key] = c.get(key, 0) + 1
+                c["texts"] = c.get("texts", 0) + 1
+        return c, sum(v for k, v in c.items() if len(k) == 1), sum(len(k) == 1 for k in c)
+
+    def estimates(ws, c, n, v):
+        for k, w in enumerate(ws):
+            far, near = ws[k - 2] if k > 1 else "<s>", ws[k - 1] if k else "<s>"
+            c1 = c.get((near,), 0) if k else c.get("texts", 0)
+            c2 = c.get((far, near), 0) if k else c.get("texts", 0)
+            level = lambda x: min(23, math.ceil(math.log2(x + 1)))
+            yield (c.get((far, near, w), 0) / c2 if c2 else 0.0, c.get((near, w), 0) / c1 if c1 else 0.0, c.get((w,), 0) / n, 1 / (v + 1), 24 + level(c2) if c2 else level(c1))
+
+    kept, every = count(lambda f: f not in (scored, deleted)), count(lambda f: f != scored)
+    held = np.array([e for i, ws in enumerate(tokens) if fold[i] == deleted for e in estimates(ws, *kept)])
+    cells, n = np.unique(lm_scoring.held_out_cells(*held[:, :3].T, held[0, 3], held[:, 4]), return_counts=True)
+    weights = lm_scoring.fit_weights(cells, n)
+    return tokens, every, [sum(math.log10(np.dot(weights[int(e[4])], e[:4])) for e in estimates(ws, *every)) for ws in tokens], (cells, n, weights)
+
+
+def test_lm_scores(spark):
+    rng = random.Random(21)
+    words = [f"{'wW'[i % 2]}{i}" for i in range(60)]
+    phrases = [" ".join(rng.choice(words) for _ in range(4)) for _ in range(40)]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(rng.randint(1, 25)))) for i in range(150)]
+    rows += [(i + 200, rows[i][1]) for i in range(20)] + [(300, None), (301, ""), (302, "never seen words"), (None, "W1 w1 w2"), (303, "w3 " * 2000), (5, "w5")]
+    fold = [0 if i is None else zlib.crc32(str(i).encode()) % 7 for i, _ in rows]
+    tokens, (c, n, v), model, _ = brute_language_model(rows, fold)
+    want = []
+    for (i, _), ws, f, m in zip(rows, tokens, fold, model):
+        base = sum(math.log10((c.get((w,), 0) + 1) / (n + v + 1)) for w in ws)
+        want.append((i or -1, f == 2, len(ws), sum((w,) in c for w in ws), n, round(base, 6), round(m, 6)))
+    d = spark.createDataFrame([(i, t, 0, "k") for i, t in rows], "doc_id long, text string, block int, keys string").repartition(3)
+    got = [(r["doc_id"] or -1, r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in score(d, fold_of(7), block_bytes=5000).collect()]
+    assert sorted(got) == sorted(want)
+    assert score(d.limit(0), fold_of(7)).count() == 0
+    assert {r["score"] < 0 for r in score(d.limit(1), F.lit(2)).collect()} == {True}
+
+
+def test_lm_weights_and_counts():
+    """No other weights make the held-out tokens likelier; counts of any size are kept."""
+    rng = np.random.default_rng(3)
+    p = [rng.random(500) * (rng.random(500) > 0.4) for _ in range(2)] + [rng.random(500) * 0.1 + 1e-3]
+    cells, n = np.unique(lm_scoring.held_out_cells(*p, 1e-3, np.full(500, 30)), return_counts=True)
+    w = lm_scoring.fit_weights(cells, n, rounds=500)[30]
+    q = np.stack([np.where(x > 0, np.exp((x - 64.0) / 4), 0) for x in (cells >> 16 & 255, cells >> 8 & 255, cells & 255)] + [np.ones(len(cells))], axis=1)
+    best = (n * np.log(q @ w)).sum()
+    for _ in range(300):
+        other = np.maximum(w + rng.normal(size=4) * 0.05, 1e-6)
+        assert (n * np.log(q @ (other / other.sum()))).sum() <= best + 0.05
+    counts = np.array([0, 1, 254, 255, 256, 2**32 + 5, 2**40])
+    assert (lm_scoring.unpack_counts(lm_scoring.pack_counts(counts), 7) == counts).all()
 
 
 def test_decontamination(spark, docs):
