@@ -1,12 +1,19 @@
 """Nearest neighbours by inner product with a permutation index.
 
-Vectors are represented by the order in which they see a fixed set of pivots. Each
-vector is posted in the inverted files of its nearest pivots, with its whole permutation.
-A query probes the files of its own nearest pivots, ranks what it finds by footrule
-distance between permutations, and scores the best by the exact inner product.
+Vectors are represented by their nearest pivots, in order. Each vector is posted, with that
+order, in the inverted files of its first few pivots. A query probes the files of its own
+nearest pivots, ranks what it finds by footrule distance between the orders, and scores what
+is near enough by the exact inner product.
+
+The number of pivots follows the square root of the number of vectors. How many files are
+probed, and how near an order must be, is set for each table by brute force on a few of
+its queries: as little as finds TARGET of their true neighbours. So vectors that cluster are
+searched in few files, and recall holds for those that do not.
 
 Inner products become cosines by one more coordinate: with M the largest norm, vectors
-get sqrt(M^2 - |x|^2) and queries 0, which keeps the order of inner products.
+get sqrt(M^2 - |x|^2) and queries 0, which keeps the order of inner products. Of equal
+vectors only the k + 1 with the smallest ids can be among anyone's k nearest, and equal
+queries are asked once, so a vector that is very common costs no more than others.
 """
 
 from __future__ import annotations
@@ -16,21 +23,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Observation, Window as W, functions as F
+from pyspark.sql.types import FloatType
 
 from .scratch import materialise
 
-#: Pivots (a bounded sample of the vectors), files a vector is posted in, files a query probes.
-PIVOTS, POSTED, PROBED = 128, 2, 80
-#: Share of a block's probed rows that footrule distance lets through, and the least number.
-SHARE, LEAST = 0.2, 500
-BLOCK_ROWS, QUERY_ROWS = 32768, 1024
+#: Pivots per square root of the number of vectors, and their least and greatest number (they are a sample).
+PIVOTS, LEAST_PIVOTS, MOST_PIVOTS = 4, 64, 16384
+#: Pivots in a vector's order, and files that it is posted in.
+ORDER, POSTED = 32, 4
+#: Queries that set the search up, share of their neighbours to find by files and of those by footrule, least number of files.
+TRIALS, TARGET, LEAST_PROBED = 64, (0.97, 0.98), 64
+BLOCK_ROWS, QUERY_ROWS = 32768, 65536
 
 
 def _usable(ids, column) -> tuple[np.ndarray, list[np.ndarray]]:
     """Ids and vectors (double) without nulls, non-finite components or zero norm."""
     keep, rows = [], []
-    for i, (x, v) in enumerate(zip(ids.to_pylist(), column)):
+    for x, v in zip(ids.to_pylist(), column):
         if x is None or not v.is_valid:
             continue
         v = v.values
@@ -43,33 +53,83 @@ def _usable(ids, column) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array(keep, np.int64), rows
 
 
-def _clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, dim, norm, vec): vectors that take part, as packed doubles."""
+def _clean(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, str]:
+    """(id, dim, norm, vec): vectors that take part, as packed numbers of their own width."""
+    kind = "<f4" if isinstance(getattr(vectors.schema[vector_col].dataType, "elementType", None), FloatType) else "<f8"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = _usable(batch.column(0), batch.column(1))
             yield pa.RecordBatch.from_pydict({
                 "id": pa.array(ids), "dim": pa.array([len(v) for v in rows], pa.int32()),
-                "norm": pa.array([float(np.sqrt((v * v).sum())) for v in rows], pa.float64()), "vec": pa.array([v.tobytes() for v in rows], pa.binary()),
+                "norm": pa.array([float(np.sqrt((v * v).sum())) for v in rows], pa.float64()), "vec": pa.array([v.astype(kind).tobytes() for v in rows], pa.binary()),
             })
 
-    return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).mapInArrow(run, "id long, dim int, norm double, vec binary")
+    return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).mapInArrow(run, "id long, dim int, norm double, vec binary"), kind
+
+
+def _matrix(column, kind: str, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64)
+
 
+def nearest_pivots(x: np.ndarray, extra: np.ndarray, pivots: np.ndarray, most: int) -> np.ndarray:
+    """The ``most`` nearest pivots of each row, nearest first, ties to the earlier pivot."""
+    far = -(np.column_stack([x, extra]) @ pivots.T)
+    if most < len(pivots):
+        some = np.sort(np.argpartition(far, most - 1, axis=1)[:, :most], axis=1)
+        order = np.argsort(np.take_along_axis(far, some, 1), axis=1, kind="stable")
+        return np.take_along_axis(some, order, 1).astype(np.uint16)
+    return np.argsort(far, axis=1, kind="stable").astype(np.uint16)
 
-def _order(x: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Place of each pivot in each vector's order, nearest first, ties to the earlier pivot."""
-    near = np.argsort(-(np.column_stack([x, extra]) @ pivots.T), axis=1, kind="stable")
-    place = np.empty_like(near)
-    np.put_along_axis(place, near, np.arange(len(pivots))[None, :], axis=1)
-    return place
 
+def _closeness(order: int, pivots: int, own: np.ndarray, orders: np.ndarray) -> np.ndarray:
+    """``order``**2 less the footrule distance of ``orders`` to a query's: sums of order - |difference in place|."""
+    table = np.zeros((order, pivots), np.int16)
+    place = np.arange(min(order, len(own)))
+    table[:, own[place]] = np.maximum(0, order - np.abs(np.arange(order)[:, None] - place[None, :]))
+    out = np.zeros(len(orders), np.int32)
+    for j in range(orders.shape[1]):
+        out += table[j].take(orders[:, j])
+    return out
 
-def _doubles(column, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
 
+def _trials(base: DataFrame, asked: list, k: int, kind: str, dim: int, orders) -> tuple[np.ndarray, np.ndarray]:
+    """For the true neighbours of some queries: the files to probe until each is met, and its closeness."""
+    queries = np.stack([np.frombuffer(r["vec"], kind) for r in asked]).astype(np.float64)
+    own_ids = np.array([r["id"] for r in asked])
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, posted: int = POSTED, probed: int = PROBED) -> DataFrame:
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, scores, vecs = (np.zeros((len(queries), 0), t) for t in (np.int64, np.float64, object))
+        for batch in batches:
+            new = batch.column("id").to_numpy()
+            score = queries @ _matrix(batch.column("vec"), kind, dim).T
+            score[own_ids[:, None] == new[None, :]] = -np.inf
+            scores = np.hstack([scores, score])
+            ids = np.hstack([ids, np.broadcast_to(new, score.shape)])
+            vecs = np.hstack([vecs, np.broadcast_to(np.array(batch.column("vec").to_pylist(), object), score.shape)])
+            top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            ids, scores, vecs = (np.take_along_axis(x, top, 1) for x in (ids, scores, vecs))
+        q = np.repeat(np.arange(len(queries)), ids.shape[1])
+        yield pa.RecordBatch.from_pydict({"q": pa.array(q, pa.int32()), "id": pa.array(ids.ravel()), "score": pa.array(scores.ravel()), "vec": pa.array(vecs.ravel().tolist(), pa.binary())})
+
+    found = base.select("id", "vec").mapInArrow(best, "q int, id long, score double, vec binary").filter(F.col("score") > float("-inf"))
+    rank = F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "id"))
+    found = found.withColumn("r", rank).filter(F.col("r") <= k).select("q", "vec").collect()  # TRIALS * k rows at most
+    if not found:
+        return np.zeros(0), np.zeros(0)
+    whole = orders(queries, query=True)
+    theirs = orders(np.stack([np.frombuffer(r["vec"], kind) for r in found]).astype(np.float64), query=False)
+    need, close = [], []
+    for r, order in zip(found, theirs):
+        own = whole[r["q"]]
+        place = np.empty(len(own), np.int64)
+        place[own] = np.arange(len(own))
+        need.append(place[order[:POSTED]].min() + 1)
+        close.append(_closeness(len(order), len(own), own, order[None, :])[0])
+    return np.array(need), np.array(close)
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest rows of ``vectors`` that were found.
 
     Score is the inner product in double precision; nearest first, ties to the smaller
@@ -77,42 +137,63 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     zero or hold nulls or non-finite components take no part, nor do those whose length is
     not the commonest one (of equally common ones the smaller). Rows that repeat an id count once,
     with their best score. Other columns are ignored. Empty tables give an empty result.
-    The pivots are a sample of at most ``pivots`` vectors; every vector is indexed.
+    The pivots and the queries that set the search up are bounded samples; every vector is indexed.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    base = materialise(_clean(vectors, id_col, vector_col), "vectors")
+    clean, kind = _clean(vectors, id_col, vector_col)
+    base = materialise(clean, "vectors")
     shape = base.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("m")).orderBy(F.desc("n"), "dim").first()
+    asked, asked_kind = _clean(queries, id_col, vector_col)
     if shape is None:
         return spark.createDataFrame([], schema)
     dim, top = int(shape["dim"]), float(shape["m"])
-    base = base.filter(F.col("dim") == dim)
-    sample = base.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(pivots).select("vec").collect()
-    p = np.array([np.frombuffer(r["vec"]) for r in sample]) / top
+    copies = F.row_number().over(W.partitionBy("vec").orderBy("id"))
+    seen = Observation()
+    base = base.filter(F.col("dim") == dim).select("id", "vec").distinct().withColumn("copy", copies).filter(F.col("copy") <= k + 1)
+    base = materialise(base, "vectors", seen, F.count(F.lit(1)).alias("n"))
+    wide = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, round(PIVOTS * seen.get["n"] ** 0.5))))
+    sample = base.filter("copy = 1").orderBy(F.xxhash64("vec"), "id").limit(wide).select("vec").collect()
+    p = np.array([np.frombuffer(r["vec"], kind) for r in sample], np.float64) / top
     p = np.column_stack([p, np.sqrt(np.maximum(0.0, 1.0 - (p * p).sum(axis=1)))])
-    wide = len(p)
-    posted, probed = min(posted, wide), min(probed, wide)
+    wide, order, posted = len(p), min(ORDER, len(p)), min(POSTED, len(p))
+
+    def orders(x: np.ndarray, query: bool, most: int | None = None) -> np.ndarray:
+        x = x / top
+        extra = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1)))
+        return nearest_pivots(x, extra, p, most or (wide if query else order))
+
+    asked = materialise(asked.filter(F.col("dim") == dim).select("id", "vec").distinct(), "queries")
+    distinct = asked.groupBy("vec").agg(F.min("id").alias("id"))
+    trials = distinct.orderBy(F.xxhash64("id", F.lit(4)), "id").limit(TRIALS).collect()
+    if not trials:
+        return spark.createDataFrame([], schema)
+    need, close = _trials(base, [{"id": r["id"], "vec": np.frombuffer(r["vec"], asked_kind).astype(kind).tobytes()} for r in trials], k, kind, dim, orders)
+    probed, least = wide, 0
+    if len(need):
+        probed = int(min(wide, max(LEAST_PROBED, np.quantile(need, TARGET[0], method="higher"))))
+        least = int(np.quantile(close[need <= probed], 1 - TARGET[1], method="lower"))
+    length = max(probed, order)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _doubles(batch.column("vec"), dim) / top
-            place = _order(x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1))), p)
-            row, file = np.nonzero(place < posted)
+            own = orders(_matrix(batch.column("vec"), kind, dim), query=False)
+            row = np.repeat(np.arange(len(own)), posted)
+            at = pa.array(row)
             yield pa.RecordBatch.from_pydict({
-                "file": pa.array(file, pa.int32()), "id": batch.column("id").take(pa.array(row)), "vec": batch.column("vec").take(pa.array(row)),
-                "place": pa.array([place[r].astype(np.uint8 if wide <= 256 else np.uint16).tobytes() for r in row], pa.binary()),
+                "file": pa.array(own[:, :posted].ravel().astype(np.int32)), "id": batch.column("id").take(at), "vec": batch.column("vec").take(at),
+                "near": pa.array([x.tobytes() for x in own], pa.binary()).take(at),
             })
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _doubles(batch.column("vec"), dim) / top
-            place = _order(x, np.zeros(len(x)), p)
+            own = orders(_matrix(batch.column("vec"), asked_kind, dim), query=True, most=length)
             yield pa.RecordBatch.from_pydict({
-                "query_id": batch.column("id"), "vec": batch.column("vec"), "place": pa.array([r.astype(np.uint8 if wide <= 256 else np.uint16).tobytes() for r in place], pa.binary()),
-                "files": pa.array([np.flatnonzero(r < probed).tolist() for r in place], pa.list_(pa.int32())),
+                "query_id": batch.column("id"), "vec": batch.column("vec"), "near": pa.array([x.tobytes() for x in own], pa.binary()),
+                "files": pa.array(own[:, :probed].astype(np.int32).tolist(), pa.list_(pa.int32())),
             })
 
-    files = materialise(base.mapInArrow(post, "file int, id long, vec binary, place binary"), "files")
+    files = materialise(base.select("id", "vec").mapInArrow(post, "file int, id long, vec binary, near binary"), "files")
     sizes = {r["file"]: r["count"] for r in files.groupBy("file").count().collect()}  # at most one row a pivot
     # Small neighbouring files share a block; a large one is cut into several.
     rows, block, filled = [], 0, 0
@@ -123,44 +204,52 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
         rows.append((f, block, parts))
         block, filled = (block + parts, 0) if parts > 1 else (block, filled + sizes[f])
     where = F.broadcast(spark.createDataFrame(rows, "file int, block int, parts int"))  # at most one row a pivot
-    asked = materialise(_clean(queries, id_col, vector_col).filter(F.col("dim") == dim).mapInArrow(ask, "query_id long, vec binary, place binary, files array<int>"), "queries")
-    chunks = max(1, -(-asked.count() // QUERY_ROWS))
-    stored = files.join(where, "file").withColumn("block", F.col("block") + F.pmod(F.xxhash64("id"), "parts").cast("int"))
-    stored = stored.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select("block", "chunk", "file", "id", "vec", "place")
-    routes = asked.select("query_id", F.explode("files").alias("file")).join(where, "file")
+    sent = materialise(distinct.select("id", "vec").mapInArrow(ask, "query_id long, vec binary, near binary, files array<int>"), "asked")
+    routes = sent.select("query_id", F.explode("files").alias("file")).join(where, "file")
     routes = routes.select("query_id", F.explode(F.sequence("block", F.col("block") + F.col("parts") - 1)).alias("block")).distinct()
-    sent = asked.drop("files").join(routes, "query_id").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int"))
+    # Queries that are too many for one task go to copies of the block.
+    chunks = routes.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_ROWS)).cast("int").alias("chunks"))
+    stored = files.join(where, "file").withColumn("block", F.col("block") + F.pmod(F.xxhash64("id"), "parts").cast("int")).join(chunks, "block")
+    stored = stored.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("block", "chunk", "file", "id", "vec", "near")
+    sent = sent.drop("files").join(routes.join(chunks, "block"), "query_id").withColumn("chunk", F.pmod(F.xxhash64("query_id"), "chunks").cast("int"))
 
     def search(rows: pa.Table, wanted: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
         if rows.num_rows and wanted.num_rows:
-            rows = rows.take(pc.sort_indices(rows, sort_keys=[("id", "ascending")]))
-            kind = np.uint8 if wide <= 256 else np.uint16
-            ids, file, x = rows["id"].to_numpy(), rows["file"].to_numpy(), _doubles(rows["vec"], dim)
-            place = np.frombuffer(b"".join(rows["place"].to_pylist()), kind).reshape(-1, wide)
-            # Rows of one id and one vector that stand in two files.
-            same = np.r_[False, (ids[1:] == ids[:-1]) & (x[1:] == x[:-1]).all(axis=1)]
-            asked_place = np.frombuffer(b"".join(wanted["place"].to_pylist()), kind).reshape(-1, wide)
-            for q, v, own in zip(wanted["query_id"].to_numpy(), _doubles(wanted["vec"], dim), asked_place):
-                at = np.flatnonzero((own[file] < probed) & (ids != q))
-                if not len(at):
+            rows = rows.take(pc.sort_indices(rows, sort_keys=[("file", "ascending"), ("id", "ascending")]))
+            ids, file, x = rows["id"].to_numpy(), rows["file"].to_numpy(), _matrix(rows["vec"], kind, dim)
+            near = np.frombuffer(b"".join(rows["near"].to_pylist()), np.uint16).reshape(-1, order)
+            held, begin = np.unique(file, return_index=True)
+            end = np.r_[begin[1:], len(file)]
+            asked_near = np.frombuffer(b"".join(wanted["near"].to_pylist()), np.uint16).reshape(-1, length)
+            for q, v, own in zip(wanted["query_id"].to_numpy(), _matrix(wanted["vec"], asked_kind, dim), asked_near):
+                place = np.full(wide, wide, np.int32)
+                place[own[:probed]] = np.arange(probed)
+                mine = np.flatnonzero(place[held] < wide)
+                if not len(mine):
                     continue
-                at = at[np.r_[True, ids[at][1:] != ids[at][:-1]] | ~same[at]]
-                # Both are permutations of one range, so the distance falls as the sum of minima grows.
-                nearness = np.minimum(place[at], own).sum(axis=1, dtype=np.int32)
-                most = max(LEAST, k, int(SHARE * len(at)))
-                if most < len(at):
-                    at = at[np.sort(np.argsort(-nearness, kind="stable")[:most])]
-                score = (x[at] * v).sum(axis=1)
+                at = np.concatenate([np.arange(begin[f], end[f]) for f in mine])
+                # A vector counts in that of its files which the query probes first.
+                at = at[place[near[at, :posted]].min(axis=1) == place[file[at]]]
+                close = _closeness(order, wide, own, near[at])
+                good = close >= least
+                if good.sum() <= k:
+                    good = np.argsort(-close, kind="stable")[: k + 1]
+                at = at[good]
+                score = x[at] @ v
                 best = np.lexsort((ids[at], -score))
-                best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])[:k]]
+                best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])[: k + 1]]
                 out["query_id"].append(np.full(len(best), q))
                 out["vec_id"].append(ids[at][best])
-                out["score"].append(score[best])
+                out["score"].append((x[at[best]] * v).sum(axis=1))
         join = lambda c, t: pa.array(np.concatenate(out[c]) if out[c] else np.zeros(0), t)
         return pa.table({"query_id": join("query_id", pa.int64()), "vec_id": join("vec_id", pa.int64()), "score": join("score", pa.float64())})
 
     found = stored.groupBy("block", "chunk").cogroup(sent.groupBy("block", "chunk")).applyInArrow(search, "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    found = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return found.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = lambda key: F.row_number().over(W.partitionBy(key).orderBy(F.desc("score"), "vec_id"))
+    found = found.withColumn("rank", best("query_id")).filter(F.col("rank") <= k + 1).withColumnRenamed("query_id", "rep").drop("rank")
+    # Equal queries share what the one with the least id has found.
+    mine = asked.join(distinct.select("vec", F.col("id").alias("rep")), "vec").select(F.col("id").alias("query_id"), "rep")
+    found = mine.join(found, "rep").filter("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return found.withColumn("rank", best("query_id")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

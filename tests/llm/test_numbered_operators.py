@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import zlib
 
@@ -156,6 +157,54 @@ def test_nearest(spark):
     assert hits >= 0.9 * 20 * 15
 
 
+def recall(spark, rows, k=20, every=20):
+    """Share of true neighbours that are found; ids, order, scores and the numbers of rows must be right anyway."""
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)
+    v = spark.createDataFrame([(int(i), [float(c) for c in w]) for i, w in rows], "vec_id long, embedding array<float>").repartition(4)
+    got = {}
+    for r in nearest(v, v.filter(f"vec_id % {every} = 0"), k=k).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    place, hits, asked = {i: n for n, i in enumerate(ids.tolist())}, 0, ids[ids % every == 0]
+    assert set(got) == set(asked.tolist())
+    for q in asked.tolist():
+        s = x @ x[place[q]]
+        order = np.lexsort((ids, -s))
+        best = [int(i) for i in ids[order] if i != q][:k]
+        mine = sorted(got[q])
+        assert [m[0] for m in mine] == list(range(1, k + 1)) and q not in [m[1] for m in mine]
+        assert np.allclose([m[2] for m in mine], [s[place[m[1]]] for m in mine], atol=1e-9)
+        assert mine == sorted(mine, key=lambda m: (-m[2], m[1]))
+        hits += len(set(best) & {m[1] for m in mine})
+    return hits / (k * len(asked))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no tables")
+def test_recall_on_the_embeddings(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    assert recall(spark, [(r["vec_id"], r["embedding"]) for r in table.collect()]) >= 0.9
+
+
+def test_recall_on_clusters_of_unequal_norms(spark):
+    rng = np.random.default_rng(11)
+    centre = rng.normal(size=(60, 24))
+    x = (centre[rng.integers(60, size=9000)] + 0.4 * rng.normal(size=(9000, 24))) * np.exp(0.4 * rng.normal(size=(9000, 1)))
+    assert recall(spark, list(enumerate(x.astype(np.float32))), every=60) >= 0.9
+
+
+def test_nearest_with_ties_and_repeats(spark):
+    """A third of the vectors are equal; ties go to the smaller id; odd rows take no part."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(240, 8)).astype(np.float32)
+    x[rng.permutation(240)[:80]] = x[0] * 2
+    assert recall(spark, [(i * 5, v) for i, v in enumerate(x)], k=7) >= 0.97
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 3.0]), (1, [0.0, 3.0]), (2, [1.0, 1.0]), (20, [0.0, 2.0]), (None, [9.0, 9.0]), (7, None), (8, []), (9, [0.0, 0.0]), (10, [float("inf"), 1.0]), (11, [None, 1.0]), (12, [1.0, 2.0, 3.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("file", F.lit(1)).withColumn("block", F.lit("x"))
+    got = [tuple(r) for r in nearest(v, v.filter("vec_id % 20 = 0"), k=5).collect()]
+    assert sorted(got) == [(20, 1, 1, 6.0), (20, 2, 2, 2.0)]
+    assert sorted(tuple(r) for r in nearest(v, v.filter("vec_id = 1"), k=1).collect()) == [(1, 1, 20, 6.0)]
+    assert nearest(v.limit(0), v, k=5).count() == 0 and nearest(v, v.limit(0), k=5).count() == 0
+
+
 def ids_of(name, text, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
     t.encode_special_tokens = True
