@@ -51,7 +51,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
     else:
         raise RuntimeError("components did not settle")
     out = old.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return out.union(old.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out = out.union(old.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out._scratch = old._scratch
+    return out
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from .components import connected_components, local_components
-from .scratch import materialise
+from .scratch import discard, materialise
 from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, window_hashes, word_spans
 
 BANDS, ROWS = 48, 5
@@ -334,9 +334,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows = rows.join(heads.select("doc_id", "n", "sketch"), "doc_id").repartition("grp").sortWithinPartitions("grp")
         return rows.mapInArrow(lambda it: _bucket_links(it, threshold, inner), LINKS)
 
-    links = compared(_in_blocks(members, BUCKET_HEADS if hot else 0), inner=True)
+    links, seen_links = compared(_in_blocks(members, BUCKET_HEADS if hot else 0), inner=True), None
     if hot:
-        links = materialise(links, "links")
+        links = seen_links = materialise(links, "links")
         rest = links.filter("b is null").select(F.col("a").alias("doc_id"), F.col("grp").alias("key")).distinct()
         rest = rest.join(members.filter("blocks > 1"), ["doc_id", "key"])
         links = links.filter("b is not null").unionByName(compared(_rest_in_blocks(rest, members.filter("blocks > 1"), None, BUCKET_BLOCK), inner=False))
@@ -364,9 +364,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         texts = docs.select("doc_id", "text").join(rows, "doc_id").select("grp", "key", "doc_id", "side", "text")
         return texts.groupBy("grp").applyInArrow(lambda t: confirm(t, inner), LINKS)
 
-    found = checked(_in_blocks(grouped, FAMILY_HEADS if large else 0), inner=True)
+    found, tried = checked(_in_blocks(grouped, FAMILY_HEADS if large else 0), inner=True), None
     if large:
-        found = materialise(found, "found")
+        found = tried = materialise(found, "found")
         rest = found.filter("b is null").select(F.col("a").alias("doc_id"), F.col("grp").alias("key")).distinct().join(grouped, ["doc_id", "key"])
         found = found.filter("b is not null").unionByName(checked(_rest_in_blocks(rest, grouped.filter("blocks > 1"), "bytes", FAMILY_BYTES), inner=False))
     found = found.filter("b is not null").select("a", "b")
@@ -376,6 +376,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if several.take(1):
         found = found.unionByName(full.join(several, "doc_id", "left_semi").join(classes, "class").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     component = connected_components(found).withColumnRenamed("node", "rep")
+    discard(members, seen_links, families, grouped, tried, several)
     classes = classes.join(component, "rep", "left").select("class", F.coalesce("component", "rep").alias("component_id"))
     own = sig.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("class"), *extra)
     out = own.join(classes, "class", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))

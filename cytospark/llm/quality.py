@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .scratch import materialise
+from .scratch import discard, materialise
 from .textkit import batches_of_bytes, span_hashes, text_bytes, word_spans
 
 CHUNK_BYTES = 1 << 20
@@ -183,6 +183,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fold, held_out_fold: int
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).dropna().groupBy("doc_id").agg(F.avg("y").alias("y"))
     labelled = materialise(table.filter(F.col("fold") != held_out_fold).join(known, "doc_id").select("fold", "x", "y"), "labelled")
     model = fit(labelled)
+    discard(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
