@@ -65,20 +65,22 @@ def document_statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 _LETTERS = np.array([*range(65, 91), *range(97, 123), *range(128, 256)], np.uint8)
 
 
-def statistics_table(docs: DataFrame, fold, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, fold, x) with the statistics of every whole text; null texts count as empty. ``carry`` follows as carried_0 and on."""
-    extra = [f"carried_{i}" for i in range(len(carry))]
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(fold, F.lit(0)).cast("int").alias("fold"), *(F.col(c).alias(x) for c, x in zip(carry, extra)))
-    result = StructType([*StructType.fromDDL("doc_id long, fold int, x array<float>").fields, *(StructField(x, docs.schema[x].dataType, True) for x in extra)])
+def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of documents, each with the statistics of its whole texts; null texts count as empty."""
+    for batch in batches:
+        yield batch, document_statistics(*text_bytes(batch.column("text"))).astype(np.float32)
+
+
+def statistics_table(docs: DataFrame, others: str) -> DataFrame:
+    """``docs`` with the statistics ``x`` in place of ``text``; ``others`` names its remaining columns and their types."""
+    names = [field.split()[0] for field in others.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            x = document_statistics(data, offsets).astype(np.float32)
+        for batch, x in _statistics(batches):
             column = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * STATISTICS, pa.int32()), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fold": batch.column("fold"), "x": column, **{c: batch.column(c) for c in extra}})
+            yield pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in names}, "x": column})
 
-    return docs.mapInArrow(run, result)
+    return docs.select("text", *names).mapInArrow(run, f"{others}, x array<float>")
 
 
 @dataclass(frozen=True)
@@ -177,18 +179,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fold, held_out_fold: int
     Other columns are ignored, but for those in ``carry``, which follow the result's.
     Empty tables give an empty result.
     """
-    table = materialise(statistics_table(docs, fold, id_col, text_col, carry), "statistics")
     extra = [f"carried_{i}" for i in range(len(carry))]
-    result = StructType([*StructType.fromDDL("doc_id long, held_out boolean, score double").fields, *(table.schema[x] for x in extra)])
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(fold, F.lit(0)).cast("int").alias("fold"), *(F.col(c).alias(x) for c, x in zip(carry, extra)))
+    result = StructType([*StructType.fromDDL("doc_id long, held_out boolean, score double").fields, *(StructField(x, docs.schema[x].dataType, True) for x in extra)])
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).dropna().groupBy("doc_id").agg(F.avg("y").alias("y"))
-    labelled = materialise(table.filter(F.col("fold") != held_out_fold).join(known, "doc_id").select("fold", "x", "y"), "labelled")
+    # Statistics are taken anew for the scores: writing them for all documents would cost more.
+    labelled = docs.filter(F.col("fold") != held_out_fold).select("doc_id", "fold", "text")
+    labelled = materialise(statistics_table(labelled, "doc_id long, fold int").join(known, "doc_id").select("fold", "x", "y"), "labelled")
     model = fit(labelled)
     discard(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = model.score(_matrix(batch))
+        for batch, x in _statistics(batches):
             held = np.asarray(batch.column("fold").to_numpy()) == held_out_fold
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "held_out": pa.array(held), "score": pa.array(score), **{c: batch.column(c) for c in extra}})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "held_out": pa.array(held), "score": pa.array(model.score(x.astype(np.float64))), **{c: batch.column(c) for c in extra}})
 
-    return table.mapInArrow(run, result).withColumnsRenamed(dict(zip(extra, carry)))
+    return docs.mapInArrow(run, result).withColumnsRenamed(dict(zip(extra, carry)))
