@@ -1,7 +1,8 @@
 """Removal of repeated token windows (exact substring deduplication).
 
-Every window of ``window`` consecutive words gets two Rabin-Karp hashes, 96 bits in all, so
-that unlike windows are held to be equal about never, in 10**13 windows too. Documents are
+Every window of ``window`` consecutive words gets two Rabin-Karp hashes, 64 bits and as many
+more as the corpus needs so that unlike windows are held to be equal about never (SPARE_BITS
+says how rarely). Documents are
 grouped into blocks of ascending id; each block sends its distinct window hashes to
 buckets, and each bucket answers which of them the block holds first. A window that
 starts earlier anywhere else is repeated; runs of repeated windows merge into maximal
@@ -23,6 +24,8 @@ from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, window
 #: Bytes of text that one block holds at most, and that are hashed at a time; a bucket holds the windows of twice a block.
 BLOCK_BYTES = 8 << 20
 CHUNK_BYTES = 1 << 20
+#: Two unlike windows of the whole corpus have equal hashes with a chance of about 2**-SPARE_BITS.
+SPARE_BITS = 10
 
 RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string"
 
@@ -32,8 +35,8 @@ def _in_order(table: pa.Table) -> pa.Table:
     return table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("place", "ascending"), ("text", "ascending")], null_placement="at_start"))
 
 
-def _windows(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all windows of the texts in their order (64 and 32 bits), and the number of each text's words."""
+def _windows(table: pa.Table, window: int, more_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all windows of the texts in their order (64 bits, and up to 32 more), and the number of each text's words."""
     data, offsets = text_bytes(table["text"])
     hashes, more, counts = [np.zeros(0, U64)], [np.zeros(0, np.uint32)], np.zeros(table.num_rows, np.int64)
     for i, j in batches_of_bytes(offsets, CHUNK_BYTES):
@@ -45,7 +48,11 @@ def _windows(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.n
         if len(h):
             inside = doc[: len(h)] == doc[window - 1 :]
             hashes.append(h[inside])
-            more.append((window_hashes(mix(words + U64(0x5851F42D4C957F2D)), window)[inside] >> U64(32)).astype(np.uint32))
+            if more_bytes:
+                other = window_hashes(mix(words + U64(0x5851F42D4C957F2D)), window)[inside]
+                more.append((other >> U64(64 - 8 * more_bytes)).astype(np.uint32))
+            else:
+                more.append(np.zeros(int(inside.sum()), np.uint32))
     return np.concatenate(hashes), np.concatenate(more), counts
 
 
@@ -89,12 +96,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     empty = to_arrow_schema(result).empty_table()
     blocked, total = ordered_blocks(docs, "doc_id", "text", block_bytes)
     n_buckets = pieces(total, 2 * block_bytes)
+    # A window needs two bytes of text at least.
+    more_bytes = int(np.clip(-(-(2 * (total // 2 + 1).bit_length() - 1 + SPARE_BITS - 64) // 8), 0, 4))
 
     def send(table: pa.Table) -> pa.Table:
-        high, low, _ = _windows(_in_order(table), window)
+        high, low, _ = _windows(_in_order(table), window, more_bytes)
         order, new = _ranked(high, low)
         keys, more = high[order[new]], low[order[new]]
-        rows = [(b, pack_sorted(keys[s]), more[s].astype("<u4").tobytes()) for b, s in bucket_slices(keys, n_buckets)]
+        planes = more.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :more_bytes]
+        rows = [(b, pack_sorted(keys[s]), planes[s].tobytes()) for b, s in bucket_slices(keys, n_buckets)]
         block = table["block"][0].as_py()
         return pa.table({"block": pa.array([block] * len(rows), pa.int32()), "bucket": pa.array([r[0] for r in rows], pa.int32()), "keys": pa.array([r[1] for r in rows], pa.binary()), "more": pa.array([r[2] for r in rows], pa.binary())})
 
@@ -102,7 +112,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         table = table.sort_by("block")
         parts = [unpack_sorted(x.as_buffer().to_pybytes()) for x in table["keys"]]
         ends = np.cumsum([len(p) for p in parts])
-        more = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["more"]])
+        planes = np.zeros((int(ends[-1]), 4), np.uint8)
+        planes[:, :more_bytes] = np.frombuffer(b"".join(table["more"].to_pylist()), np.uint8).reshape(-1, more_bytes) if more_bytes else 0
+        more = planes.view("<u4").ravel()
         order, new = _ranked(np.concatenate(parts), more)
         again = np.zeros(len(order), bool)
         again[order] = ~new
@@ -113,7 +125,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if not table.num_rows:
             return empty
         table = _in_order(table)
-        high, low, counts = _windows(table, window)
+        high, low, counts = _windows(table, window, more_bytes)
         order, new = _ranked(high, low)
         keys = high[order[new]]
         flags = dict(zip(answers["bucket"].to_pylist(), answers["again"].to_pylist()))

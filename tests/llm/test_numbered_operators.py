@@ -17,7 +17,7 @@ from cytospark.llm.blocks import ordered_blocks
 from cytospark.llm.decontaminate import contaminated
 from cytospark.llm.language_crf import identify
 from cytospark.llm.lm_scoring import score
-from cytospark.llm import decontaminate, lm_scoring, near_dedup
+from cytospark.llm import decontaminate, lm_scoring, near_dedup, substring_dedup
 from cytospark.llm.near_dedup import near_duplicates
 from cytospark.llm.packing import Limits, pack, pack_documents
 from cytospark.llm.permutation_index import nearest
@@ -263,8 +263,10 @@ def test_blocks_split_what_is_large(spark):
     assert len({g[0] for g in got if g[2] == 5}) > 5 and len({g[0] for g in got if not g[1]}) > 5
 
 
-def test_substring_dedup_of_odd_rows(spark):
+@pytest.mark.parametrize("spare", [10, 50])
+def test_substring_dedup_of_odd_rows(spark, monkeypatch, spare):
     """Null and repeated ids: windows are removed where an earlier row of the order has them."""
+    monkeypatch.setattr(substring_dedup, "SPARE_BITS", spare)
     rng = random.Random(6)
     text = lambda n: " ".join(f"w{rng.randint(1, 99)}" for _ in range(n))
     a, b = text(50), text(45)
