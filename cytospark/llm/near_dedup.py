@@ -41,7 +41,7 @@ SCALE = 20.0
 SLACK = 16.0
 #: Members of a bucket, and text bytes of a family, that are compared in one piece.
 BUCKET_BLOCK = 1024
-FAMILY_BYTES = 4 << 20
+FAMILY_BYTES = 1 << 20
 #: Representatives of a hot bucket, of a large family.
 BUCKET_HEADS, FAMILY_HEADS = 16, 4
 CHUNK_BYTES = 2 << 20
