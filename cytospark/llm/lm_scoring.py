@@ -15,6 +15,8 @@ seen is taken for another once in about 2**SPARE_BITS look-ups.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,13 +29,13 @@ from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, word_s
 BLOCK_BYTES = 8 << 20
 CHUNK_BYTES = 1 << 20
 ORDERS = 3
-SPARE_BITS = 20
+SPARE_BITS = 16
 #: Rows of a document in the model: counted and kept for learning weights, or only scored.
 RETAINED, DELETED, SCORED = 0, 1, 2
 #: Buckets of a context's frequency: 0, 1, 2-3, 4-7, ... occurrences; first those of one word, then those of two.
 BUCKETS = 24
 #: Log-ratio grid on which held-out tokens are counted for the fit, in steps of 1/GRID of e.
-GRID, _ZERO = 4, 64
+GRID, _ZERO = 2, 64
 
 _END = mix(np.array([0xE0D], U64))
 _START = mix(np.array([0x57A], U64))
@@ -74,12 +76,13 @@ def _contexts(doc: np.ndarray) -> np.ndarray:
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    """One byte a count; those of 255 or more follow in eight bytes each."""
+    """One byte a count; those of 255 or more follow in eight bytes each. Most are small, so they deflate well."""
     large = counts >= 255
-    return np.where(large, 255, counts).astype(np.uint8).tobytes() + counts[large].astype("<u8").tobytes()
+    return zlib.compress(np.where(large, 255, counts).astype(np.uint8).tobytes() + counts[large].astype("<u8").tobytes(), 1)
 
 
 def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    data = zlib.decompress(data)
     out = np.frombuffer(data, np.uint8, count=n).astype(np.int64)
     out[out == 255] = np.frombuffer(data, "<u8", offset=n).astype(np.int64)
     return out

@@ -412,7 +412,7 @@ def test_lm_weights_and_counts():
     p = [rng.random(500) * (rng.random(500) > 0.4) for _ in range(2)] + [rng.random(500) * 0.1 + 1e-3]
     cells, n = np.unique(lm_scoring.held_out_cells(*p, 1e-3, np.full(500, 30)), return_counts=True)
     w = lm_scoring.fit_weights(cells, n, rounds=500)[30]
-    q = np.stack([np.where(x > 0, np.exp((x - 64.0) / 4), 0) for x in (cells >> 16 & 255, cells >> 8 & 255, cells & 255)] + [np.ones(len(cells))], axis=1)
+    q = np.stack([np.where(x > 0, np.exp((x - 64.0) / lm_scoring.GRID), 0) for x in (cells >> 16 & 255, cells >> 8 & 255, cells & 255)] + [np.ones(len(cells))], axis=1)
     best = (n * np.log(q @ w)).sum()
     for _ in range(300):
         other = np.maximum(w + rng.normal(size=4) * 0.05, 1e-6)
