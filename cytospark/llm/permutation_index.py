@@ -34,7 +34,8 @@ PIVOTS, LEAST_PIVOTS, MOST_PIVOTS = 4, 64, 16384
 ORDER, POSTED = 32, 4
 #: Queries that set the search up, share of their neighbours to find by files and of those by footrule, least number of files.
 TRIALS, TARGET, LEAST_PROBED = 64, (0.97, 0.98), 64
-BLOCK_ROWS, QUERY_ROWS = 32768, 65536
+#: Posted rows of a block (at least SPREAD blocks where there are rows for them), queries that it meets in one task.
+BLOCK_ROWS, LEAST_ROWS, SPREAD, QUERY_ROWS = 32768, 1024, 24, 65536
 
 
 def _usable(ids, column) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -197,9 +198,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     sizes = {r["file"]: r["count"] for r in files.groupBy("file").count().collect()}  # at most one row a pivot
     # Small neighbouring files share a block; a large one is cut into several.
     rows, block, filled = [], 0, 0
+    most = min(BLOCK_ROWS, max(LEAST_ROWS, sum(sizes.values()) // SPREAD))
     for f in sorted(sizes):
-        parts = -(-sizes[f] // BLOCK_ROWS)
-        if parts > 1 or filled + sizes[f] > BLOCK_ROWS:
+        parts = -(-sizes[f] // most)
+        if parts > 1 or filled + sizes[f] > most:
             block, filled = block + (filled > 0), 0
         rows.append((f, block, parts))
         block, filled = (block + parts, 0) if parts > 1 else (block, filled + sizes[f])
