@@ -1,4 +1,4 @@
-"""The queries of the numbered operators, and their SQL where SQL can state them."""
+"""The queries of the numbered operators; their SQL, where SQL can state them, is ``ORACLE_SQL``."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from .decontaminate import contaminated
 from .language_crf import identify
 from .lm_scoring import score
 from .near_dedup import near_duplicates
+from .oracle import ORACLE_SQL
 from .packing import pack_documents
 from .permutation_index import nearest
 from .quality import quality_scores
@@ -111,6 +112,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_permutation_index": op1_permutation_index,
     "op2_substring_dedup": op2_substring_dedup,
@@ -123,5 +126,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filters": op9_url_filters,
     "op10_packing": op10_packing,
 }
-
-ORACLE_SQL: dict[str, str] = {}
