@@ -89,7 +89,13 @@ def merge_stats(stats: DataFrame, keys: Sequence[str] = ("donor_id", "granularit
 
 def donor_counts(cells: DataFrame, donor: str, major: str, majors: Sequence[str] = MAJORS) -> DataFrame:
     """AG7, JO3: cells per donor and class by one pivot of given values; absent ones are 0."""
-    wide = cells.groupBy(F.col(donor).cast("string").alias("donor_id")).pivot(major, list(majors)).agg(F.count(F.lit(1)))
+    counts = cells.groupBy(F.col(donor).cast("string").alias("donor_id"), F.col(major).alias("cell_type")).agg(F.count(F.lit(1)).alias("n_cells"))
+    return counts_by_class(counts, majors)
+
+
+def counts_by_class(counts: DataFrame, majors: Sequence[str] = MAJORS) -> DataFrame:
+    """JO3: (donor_id, cell_type, n_cells) with a column a class and their sum; absent ones are 0."""
+    wide = counts.groupBy("donor_id").pivot("cell_type", list(majors)).agg(F.sum("n_cells"))
     wide = wide.select("donor_id", *(F.coalesce(F.col(m), F.lit(0)).alias(f"n_cells_{m}") for m in majors))
     total = sum((F.col(f"n_cells_{m}") for m in majors[1:]), F.col(f"n_cells_{majors[0]}"))
     return wide.withColumn("total_cells", total)
@@ -133,10 +139,12 @@ def matrix_profile(expr: DataFrame, n_cells: int, n_genes: int) -> DataFrame:
     )
 
 
-def inspect_layers(expr: DataFrame) -> DataFrame:
-    """AG17: what the positive values of each layer look like."""
+def inspect_layers(expr: DataFrame, n_cells: int | None = None, n_genes: int | None = None) -> DataFrame:
+    """AG17: what the positive values of each layer look like; with both sizes also their ``density``."""
     v = F.col("value")
     out = expr.filter(v > 0).groupBy("layer").agg(F.count(v).alias("n"), F.min(v).alias("min_value"), F.max(v).alias("max_value"), F.avg(v).alias("mean_value"), (100 * F.avg(is_whole(v).cast("int"))).alias("pct_whole"))
+    if n_cells and n_genes:
+        out = out.withColumn("density", F.col("n") / F.lit(float(n_cells) * n_genes))
     return out.withColumn("looks_like", F.when(F.col("pct_whole") > 99, "counts").when(F.col("max_value") < 20, "log-normalised").otherwise("ambiguous"))
 
 

@@ -9,18 +9,21 @@ Floats are rounded to 6 digits on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.labels import diagnosis, list_label, list_top_n, ordinal
+from ..functions.labels import BRAAK, CERAD, THAL, diagnosis, list_label, list_top_n, ordinal
 from ..model import AGGREGATE_TARGET, FEATURE_TARGET, MAIN, TOP_GENES, Dataset
 from ..operators import aggregates as ag
 from ..operators import columns as co
 from ..operators import combine as cb
 from ..operators import filters as fi
 from ..operators import joins as jo
+from ..operators import report as rp
 from ..operators.embedding import components, fuzzy_edges, neighbours
 from ..operators.selection import by_dispersion, by_standardised_variance
+from .aggregate import as_written, class_stats
 
 SEGMENTS = {"AUTOMOBILE": "Ex", "BUILDING": "In", "FURNITURE": "Ast", "HOUSEHOLD": "Mic", "MACHINERY": "Ex"}
 PRIORITY = {"1-URGENT": 4, "2-HIGH": 3, "3-MEDIUM": 2, "4-NOT SPECIFIED": 1}
@@ -551,3 +554,86 @@ def pca_scores(spark, d):
     if not chosen:
         return spark.createDataFrame([], "cell_id string, pc array<double>")
     return components(few).select("cell_id", F.transform("pc", lambda v: F.round(F.abs(v), 6)).alias("pc"))
+
+
+# --- slices, reports, entry B -----------------------------------------------------
+
+@query(CTE_ONLY + "SELECT cell_id, count(*) AS n_genes, sum(value) AS total FROM expr JOIN obs USING (cell_id) WHERE donor = 3 GROUP BY 1")
+def donor_slice(spark, d):
+    """FI5."""
+    x = fi.donor_slice(dataset(spark, d), "donor", 3)
+    return x.expr.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_genes"), F.sum("value").alias("total"))
+
+
+@query("SELECT CAST(floor(c_acctbal / 7) AS BIGINT) AS donor, count(*) AS n_cells FROM customer GROUP BY 1 HAVING count(*) = 1")
+def skipped_donors(spark, d):
+    """FI6: the donors that the log names."""
+    obs = table(spark, d, "customer").select(F.floor(F.col("c_acctbal") / 7).cast("long").alias("donor"))
+    return rp.skipped_donors(obs, "donor")
+
+
+@query("SELECT o_orderkey FROM orders WHERE CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END")
+def flag_rows(spark, d):
+    """FI8: a missing flag is false."""
+    status = F.col("o_orderstatus")
+    rows = table(spark, d, "orders").select("o_orderkey", F.when(status == "F", True).when(status == "O", False).alias("flag"))
+    return fi.flagged(rows, "flag").select("o_orderkey")
+
+
+@query("SELECT o_custkey, o_orderkey, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey DESC) AS r FROM orders) WHERE r <= 3")
+def group_top_rows(spark, d):
+    """SO7."""
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    return fi.top_rows(rows, "o_custkey", [F.col("o_orderpriority"), F.col("o_orderkey").desc()], 3).select("o_custkey", "o_orderkey", "rank")
+
+
+@query(CTE_ONLY + "SELECT 'X' AS layer, count(*) AS n, round(count(*) / ((SELECT count(*) FROM obs) * CAST((SELECT count(*) FROM var) AS DOUBLE)), 6) AS density FROM expr WHERE value > 0")
+def layer_density(spark, d):
+    """AG17."""
+    x = dataset(spark, d)
+    return rounded(ag.inspect_layers(x.expr, x.obs.count(), x.var.count()), "density").select("layer", "n", "density")
+
+
+@query(CTE_ONLY + "SELECT c.cell_id, g.gene, COALESCE(value, 0) AS value FROM (SELECT cell_id FROM obs ORDER BY cell_ord LIMIT 20) c CROSS JOIN (SELECT gene FROM var ORDER BY gene_ord LIMIT 20) g LEFT JOIN expr e ON e.cell_id = c.cell_id AND e.gene = g.gene")
+def corner_preview(spark, d):
+    """SO5."""
+    return rp.preview(dataset(spark, d), 20, 20)
+
+
+@query(CTE_ONLY + "SELECT avg(CASE WHEN value = floor(value) THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT * FROM expr WHERE value > 0 ORDER BY cell_id, gene LIMIT 1000)")
+def whole_share_first(spark, d):
+    """PR11: its thousand values are the feature."""
+    return rp.whole_share_of_first(dataset(spark, d).expr)
+
+
+@query(CTE_ONLY + """SELECT t.part, t.col AS "column", CASE t.part WHEN 'expr' THEN (SELECT count(*) FROM expr) WHEN 'obs' THEN (SELECT count(*) FROM obs) ELSE (SELECT count(*) FROM var) END AS n_rows
+FROM (VALUES ('expr', 'cell_id'), ('expr', 'gene'), ('expr', 'value'), ('expr', 'layer'), ('obs', 'cell_id'), ('obs', 'cell_ord'), ('obs', 'donor'), ('obs', 'subtype'), ('obs', 'major'), ('var', 'gene'), ('var', 'gene_ord'), ('var', 'brand')) t(part, col)""")
+def structure_report(spark, d):
+    """AG15."""
+    return rp.structure(dataset(spark, d)).select("part", "column", "n_rows")
+
+
+@query(f"""SELECT p_partkey, CASE p_partkey % 9 {' '.join(f"WHEN {i} THEN {v}" for i, v in enumerate(BRAAK.values()))} END AS braak,
+CASE p_partkey % 7 {' '.join(f"WHEN {i} THEN {v}" for i, v in enumerate(CERAD.values()))} END AS cerad, CASE WHEN p_partkey % 8 < 7 THEN CAST(p_partkey % 8 AS INTEGER) END AS thal FROM part""")
+def stage_scores(spark, d):
+    """PR4: stages of the three scales, and texts that are none."""
+    key = F.col("p_partkey")
+    text = lambda names, n: F.try_element_at(F.array(*(F.lit(x) for x in names)), (key % n + 1).cast("int"))
+    return table(spark, d, "part").select("p_partkey", *(ordinal(F.coalesce(text(s, n), F.lit("odd")), s).alias(c) for c, s, n in (("braak", BRAAK, 9), ("cerad", CERAD, 7), ("thal", THAL, 8))))
+
+
+def _both_sql(k: str, name: str) -> str:
+    return STATS_SQL.format(k=k).replace("sizes", f"{name}_sizes").replace("sums", f"{name}_sums").replace("stats AS", f"{name} AS")
+
+
+@query(CTE + _both_sql("subtype", "by_subtype").rstrip() + ",\n" + _both_sql("major", "by_major") + """SELECT CAST(donor AS VARCHAR) AS donor_id, granularity, cell_type, gene AS gene_symbol, round(CAST(CAST(mean_expr AS FLOAT) AS DOUBLE), 4) AS mean_expr, round(CAST(CAST(frac_expressed AS FLOAT) AS DOUBLE), 4) AS frac_expressed, CAST(n_cells AS INTEGER) AS n_cells
+FROM (SELECT 'subtype' AS granularity, * FROM by_subtype UNION ALL SELECT 'major', * FROM by_major)""")
+def class_statistics(spark, d):
+    """Entry B: a dataset a class, both granularities, merged (AG2-AG6, SE4, PR20)."""
+    x = dataset(spark, d)
+    parts = []
+    for major in sorted(set(SEGMENTS.values())):
+        obs = x.obs.filter(F.col("major") == major)
+        parts.append(class_stats(x.with_(obs=obs, expr=x.expr.join(obs.select("cell_id"), "cell_id", "left_semi")), major, "donor", "subtype"))
+    out = as_written(ag.merge_stats(reduce(DataFrame.unionByName, parts)))
+    return out.withColumns({c: F.round(F.col(c).cast("double"), 4) for c in ("mean_expr", "frac_expressed")})

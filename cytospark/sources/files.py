@@ -22,6 +22,11 @@ def var_names(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/var").select("gene").distinct()
 
 
+def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """SC9, SC10: some columns of a Parquet table; ``toArrow()`` of a small result gives it as an Arrow table."""
+    return spark.read.parquet(path).select(*(F.col(f"`{c}`") for c in columns))
+
+
 def read_table(spark: SparkSession, path: str, sep: str = ",", text: Sequence[str] = ("projid",)) -> DataFrame:
     """SC3-SC5: CSV or TSV with a header, types inferred but for ``text`` columns."""
     df = spark.read.csv(path, header=True, inferSchema=True, sep=sep)
@@ -48,19 +53,25 @@ def label_of(spark: SparkSession, path: str) -> str:
     return spark.range(1).select(list_label(F.lit(path)).alias("x")).first()["x"]
 
 
-def check_path(path: str, extensions: Sequence[str] = ()) -> None:
-    """SC13: a local path that exists with one of the extensions."""
-    if not os.path.exists(path):
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def check_path(spark: SparkSession, path: str, extensions: Sequence[str] = ()) -> None:
+    """SC13: a path that exists with one of the extensions."""
+    if not exists(spark, path):
         raise FileNotFoundError(path)
     if extensions and os.path.splitext(path.rstrip("/"))[1] not in extensions:
         raise ValueError(f"{path}: expected one of {', '.join(extensions)}")
 
 
-def resolve_inputs(folder: str, majors: dict[str, str]) -> dict[str, str]:
+def resolve_inputs(spark: SparkSession, folder: str, majors: dict[str, str]) -> dict[str, str]:
     """SC12: {path: class} of the datasets that are there, under their name or its lower case."""
     found = {}
     for stem, major in majors.items():
-        path = next((p for p in (f"{folder}/{stem}", f"{folder}/{stem.lower()}") if os.path.isdir(p)), None)
+        path = next((p for p in (f"{folder}/{stem}", f"{folder}/{stem.lower()}") if exists(spark, p)), None)
         if path:
             found[path] = major
     if not found:
