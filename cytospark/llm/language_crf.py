@@ -22,7 +22,7 @@ DIMENSIONS = 1 << 16
 NGRAMS = (1, 2, 3, 4)
 BLOCK = 32
 CHUNK_BYTES = 4 << 20
-#: Most documents of a language, and text bytes of one, in the sample that training uses.
+#: Most documents of a language, and characters of one, in the sample that training uses.
 SAMPLE_DOCS, SAMPLE_BYTES = 250, 10_000
 LEXICON_WORDS = 200
 
@@ -186,7 +186,7 @@ def train(texts: list[str], labels: list[str], sequences: int = 1200, words: int
     data, offsets = text_bytes(pa.array(texts, pa.large_string()))
     data = _fold(data)
     starts, ends, doc = word_spans(data, offsets)
-    language = np.array([names.index(x) for x in labels])
+    language = np.array([names.index(x) for x in labels], np.int64)
     # Features are made once for each distinct word.
     _, sample, kind = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
     index, first, whole = word_features(data, starts[sample], ends[sample])
@@ -276,8 +276,10 @@ def _pair_posteriors(emission, chain, n, transition, pairs) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, most: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
-    """At most ``most`` texts of each language (of at most ``most_bytes`` each), picked by id hash."""
-    usable = docs.filter((F.octet_length("text") <= most_bytes) & (F.octet_length("text") > 0) & F.col("lang").isNotNull())
+    """At most ``most`` texts of each language, picked by id hash; of a longer one a span of ``most_bytes`` characters at a hashed place."""
+    usable = docs.filter((F.octet_length("text") > 0) & F.col("lang").isNotNull())
+    at = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.greatest(F.length("text") - F.lit(most_bytes), F.lit(1))).cast("int")
+    usable = usable.withColumn("text", F.when(F.length("text") > most_bytes, F.substring(F.col("text"), at + 1, F.lit(most_bytes))).otherwise(F.col("text")))
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000))
     pick = F.lit(False)
@@ -295,6 +297,8 @@ def training_sample(docs: DataFrame, most: int = SAMPLE_DOCS, most_bytes: int =
 
 def _document_rows(crf: Crf, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, list[list[dict]]]:
     docs = len(offsets) - 1
+    if not crf.labels:
+        return ["und"] * docs, np.zeros(docs), [[] for _ in range(docs)]
     raw = data
     data = _fold(data)
     starts, ends, doc = word_spans(data, offsets)
@@ -329,7 +333,7 @@ def identify(docs: DataFrame, fold, held_out_fold: int = 0, id_col: str = "doc_i
     """(doc_id, held_out, lang_pred, score, runs) of every row of ``docs``.
 
     The field is trained on texts and non-null languages of documents outside
-    ``held_out_fold``, on a sample of at most SAMPLE_DOCS texts a language. ``runs`` are the
+    ``held_out_fold``, on a sample of at most SAMPLE_DOCS texts a language, of each at most SAMPLE_BYTES characters. ``runs`` are the
     word runs of one language in the text; ``lang_pred`` has the largest sum of word
     posteriors and ``score`` its share. Null and empty texts and texts without letters
     give ``und`` and 0, as do all texts if there is nothing to learn from. Null ids count
