@@ -348,6 +348,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = materialise(grouped.withColumn("blocks", F.greatest(F.lit(1), "blocks")), "families", seen, F.max("blocks").alias("most"))
     large = (seen.get["most"] or 0) > 1
 
+    # Texts of candidates alone, dealt out once; the same plan at every size.
+    texts = materialise(docs.select("doc_id", "text").join(grouped.select("doc_id").distinct().hint("merge"), "doc_id"), "texts")
+
     def confirm(table: pa.Table, inner: bool) -> pa.Table:
         table = table.sort_by([("side", "ascending"), ("doc_id", "ascending")])
         data, offsets = text_bytes(table["text"])
@@ -361,8 +364,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.table(_link_rows(ids, root, rest, table["key"].to_numpy()))
 
     def checked(rows: DataFrame, inner: bool) -> DataFrame:
-        texts = docs.select("doc_id", "text").join(rows, "doc_id").select("grp", "key", "doc_id", "side", "text")
-        return texts.groupBy("grp").applyInArrow(lambda t: confirm(t, inner), LINKS)
+        rows = texts.join(rows, "doc_id").select("grp", "key", "doc_id", "side", "text")
+        return rows.groupBy("grp").applyInArrow(lambda t: confirm(t, inner), LINKS)
 
     found, tried = checked(_in_blocks(grouped, FAMILY_HEADS if large else 0), inner=True), None
     if large:
@@ -376,7 +379,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if several.take(1):
         found = found.unionByName(full.join(several, "doc_id", "left_semi").join(classes, "class").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     component = connected_components(found).withColumnRenamed("node", "rep")
-    discard(members, seen_links, families, grouped, tried, several)
+    discard(members, seen_links, families, grouped, texts, tried, several)
     classes = classes.join(component, "rep", "left").select("class", F.coalesce("component", "rep").alias("component_id"))
     own = sig.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("class"), *extra)
     out = own.join(classes, "class", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
