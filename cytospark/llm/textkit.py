@@ -15,7 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SEGMENT = 1 << 20
+#: Bytes or words hashed at a time: the tables of powers that each worker keeps are no longer than twice this.
+SEGMENT = 1 << 16
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -44,7 +45,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 
 def _power_tables(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(12, int(size).bit_length())
+    size = 1 << max(SEGMENT.bit_length(), int(size).bit_length())
     return _powers(base, size), _powers(pow(base, -1, 1 << 64), size)
 
 
