@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .blocks import ordered_blocks
 from .scratch import materialise
-from .textkit import batches_of_bytes, text_bytes
+from .textkit import batches_of_bytes, text_bytes, trim
 from .tokenise import encoder
 
 BLOCK_BYTES = 8 << 20
@@ -68,6 +68,7 @@ def write_sequences(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int =
     blocked, _ = ordered_blocks(docs, "doc_id", "text", block_bytes)
 
     def shard(table: pa.Table) -> pa.Table:
+        trim()
         table = table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("place", "ascending"), ("text", "ascending")], null_placement="at_start"))
         number = table["block"][0].as_py()
         bpe = encoder(tokenizer)

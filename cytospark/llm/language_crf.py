@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, word_spans
+from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, trimmed, word_spans
 
 DIMENSIONS = 1 << 16
 NGRAMS = (1, 2, 3, 4)
@@ -343,7 +343,7 @@ def identify(docs: DataFrame, fold, held_out_fold: int = 0, id_col: str = "doc_i
     crf = train(*training_sample(docs.filter(F.col("fold") != held_out_fold)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             data, offsets = text_bytes(batch.column("text"))
             held = np.asarray(batch.column("fold").to_numpy()) == held_out_fold
             for i, j in batches_of_bytes(offsets, CHUNK_BYTES):

@@ -30,7 +30,7 @@ from pyspark.sql.types import StructField, StructType
 
 from .components import connected_components, local_components
 from .scratch import discard, materialise
-from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, window_hashes, word_spans
+from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, trim, trimmed, window_hashes, word_spans
 
 BANDS, ROWS = 48, 5
 REGISTERS = BANDS * ROWS
@@ -144,7 +144,7 @@ def plausible(n1, n2, less, equal, greater, threshold: float) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], size: int, extra: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in trimmed(batches):
         data, offsets = text_bytes(batch.column("text"))
         for i, j in batches_of_bytes(offsets, CHUNK_BYTES):
             sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
@@ -352,6 +352,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialise(docs.select("doc_id", "text").join(grouped.select("doc_id").distinct().hint("merge"), "doc_id"), "texts")
 
     def confirm(table: pa.Table, inner: bool) -> pa.Table:
+        trim()
         table = table.sort_by([("side", "ascending"), ("doc_id", "ascending")])
         data, offsets = text_bytes(table["text"])
         a, b = exact_links(shingle_sets(data, offsets, shingle), percent)

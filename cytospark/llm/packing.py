@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .textkit import batches_of_bytes, text_bytes
+from .textkit import batches_of_bytes, text_bytes, trimmed
 from .tokenise import encoder
 
 BATCH_BYTES = 4 << 20
@@ -198,7 +198,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, limits: Lim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer)
         sequence = (TaskContext.get().partitionId() + 1) << 36
-        for batch in batches:
+        for batch in trimmed(batches):
             ids_of = batch.column("doc_id")
             data, offsets = text_bytes(batch.column("text"))
             for i, j in batches_of_bytes(offsets, batch_bytes):

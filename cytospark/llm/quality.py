@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from .scratch import discard, materialise
-from .textkit import batches_of_bytes, span_hashes, text_bytes, word_spans
+from .textkit import batches_of_bytes, span_hashes, text_bytes, trimmed, word_spans
 
 CHUNK_BYTES = 1 << 20
 FOURIER = 256
@@ -67,7 +67,7 @@ _LETTERS = np.array([*range(65, 91), *range(97, 123), *range(128, 256)], np.uint
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Batches of documents, each with the statistics of its whole texts; null texts count as empty."""
-    for batch in batches:
+    for batch in trimmed(batches):
         yield batch, document_statistics(*text_bytes(batch.column("text"))).astype(np.float32)
 
 

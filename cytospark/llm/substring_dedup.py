@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from .blocks import bucket_slices, ordered_blocks, pack_sorted, pieces, unpack_sorted
-from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, window_hashes, word_spans
+from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, trim, window_hashes, word_spans
 
 #: Bytes of text that one block holds at most, and that are hashed at a time; a bucket holds the windows of twice a block.
 BLOCK_BYTES = 8 << 20
@@ -100,6 +100,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more_bytes = int(np.clip(-(-(2 * (total // 2 + 1).bit_length() - 1 + SPARE_BITS - 64) // 8), 0, 4))
 
     def send(table: pa.Table) -> pa.Table:
+        trim()
         high, low, _ = _windows(_in_order(table), window, more_bytes)
         order, new = _ranked(high, low)
         keys, more = high[order[new]], low[order[new]]
@@ -109,6 +110,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table({"block": pa.array([block] * len(rows), pa.int32()), "bucket": pa.array([r[0] for r in rows], pa.int32()), "keys": pa.array([r[1] for r in rows], pa.binary()), "more": pa.array([r[2] for r in rows], pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
+        trim()
         table = table.sort_by("block")
         parts = [unpack_sorted(x.as_buffer().to_pybytes()) for x in table["keys"]]
         ends = np.cumsum([len(p) for p in parts])
@@ -122,6 +124,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table({"block": table["block"], "bucket": table["bucket"], "again": pa.array(flags, pa.binary())})
 
     def apply(table: pa.Table, answers: pa.Table) -> pa.Table:
+        trim()
         if not table.num_rows:
             return empty
         table = _in_order(table)

@@ -8,6 +8,8 @@ so no Python string is made per word.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,6 +31,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+@lru_cache(maxsize=1)
+def _heap_trimmer():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return lambda pad: 0
+
+
+def trim() -> None:
+    """Give the heap that a worker process no longer uses back to the system, where the C library can."""
+    _heap_trimmer()(0)
+
+
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``, with a ``trim`` after each, so that a waiting worker holds little memory."""
+    for batch in batches:
+        yield batch
+        del batch
+        trim()
+
+
 @lru_cache(maxsize=8)
 def _letters(seed: int, fold: bool) -> np.ndarray:
     table = np.random.default_rng(seed).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
