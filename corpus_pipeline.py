@@ -13,7 +13,7 @@ from cytospark.llm.decontaminate import contaminated
 from cytospark.llm.near_dedup import near_duplicates
 from cytospark.llm.packing import pack_documents
 from cytospark.llm.quality import quality_scores
-from cytospark.llm.scratch import materialise
+from cytospark.scratch import materialise
 from cytospark.llm.substring_dedup import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
