@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from .scratch import discard, materialise
+from ..scratch import discard, materialise
 
 
 def _told(edges: DataFrame, least: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from .components import connected_components, local_components
-from .scratch import discard, materialise
+from ..scratch import discard, materialise
 from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, trim, trimmed, window_hashes, word_spans
 
 BANDS, ROWS = 48, 5

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .scratch import discard, materialise
+from ..scratch import discard, materialise
 from .textkit import batches_of_bytes, span_hashes, text_bytes, trimmed, word_spans
 
 CHUNK_BYTES = 1 << 20

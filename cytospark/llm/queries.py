@@ -15,7 +15,7 @@ from .oracle import ORACLE_SQL
 from .packing import pack_documents
 from .permutation_index import nearest
 from .quality import quality_scores
-from .scratch import scratch_path
+from ..scratch import scratch_path
 from .substring_dedup import remove_repeats
 from .url_filters import match_captures, url_host
 

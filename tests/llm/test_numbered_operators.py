@@ -22,7 +22,7 @@ from cytospark.llm.near_dedup import near_duplicates
 from cytospark.llm.packing import Limits, pack, pack_documents
 from cytospark.llm.permutation_index import nearest
 from cytospark.llm.quality import quality_scores
-from cytospark.llm.scratch import scratch_path
+from cytospark.scratch import scratch_path
 from cytospark.llm.substring_dedup import remove_repeats
 from cytospark.llm.url_filters import match_captures
 
