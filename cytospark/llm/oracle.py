@@ -61,4 +61,38 @@ active as (
 select p.page_id, host, fetched_at, coalesce(n, 0) as n_active, entry, entry is not null as blocked from p left join active on p.page_id = active.page_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2, "op3_near_dedup": OP3, "op9_url_filters": OP9}
+#: DuckDB has no CRC-32, so the SQL takes it bit by bit: 8 steps a byte, folded over the bytes of each distinct word.
+OP13 = r"""
+with recursive
+d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+dw as (select doc_id, unnest(w) as word from d),
+bw as (select unnest(w) as word from b),
+step(i, v, n) as (
+  select i, i, 0 from (select unnest(range(0, 256))::bigint as i)
+  union all select i, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, n + 1 from step where n < 8),
+tab as (select list(v order by i) as t from step where n = 8),
+vocab as (select distinct word, hex(encode(word)) as h from (select word from dw union all select word from bw)),
+placed as (
+  select word, xor(4294967295, list_reduce(
+      list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint),
+      lambda acc, x: xor(t[(xor(acc, x) & 255) + 1], acc >> 8), 4294967295::bigint)) % 10000 as bucket
+  from vocab, tab),
+s as (select bucket, count(*) as c from dw join placed using (word) group by bucket),
+t as (select bucket, count(*) as c from bw join placed using (word) group by bucket),
+gain as (
+  select bucket, cast(floor(1000 * ln((coalesce(t.c, 0) + 1)::double * ((select count(*) from dw) + 10000)::double / ((coalesce(s.c, 0) + 1)::double * ((select count(*) from bw) + 10000)::double))) as bigint) as g
+  from (select unnest(range(0, 10000)) as bucket) left join s using (bucket) left join t using (bucket)),
+sums as (select doc_id, sum(g)::bigint as g from dw join placed using (word) join gain using (bucket) group by doc_id),
+scored as (
+  select doc_id, len(w)::bigint as n_features,
+    coalesce((g - ((g % len(w)) + len(w)) % len(w)) // len(w), 0)::bigint as weight,
+    ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint as h
+  from d left join sums using (doc_id)),
+noisy as (select doc_id, n_features, weight, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) as bigint) as score from scored),
+ranked as (select doc_id, row_number() over (order by score desc, doc_id) as r from noisy where n_features >= 20)
+select doc_id, n_features, weight, score, case when r <= 10 * (select count(*) from ranked) // 100 then r end as rank
+from noisy left join ranked using (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2, "op3_near_dedup": OP3, "op9_url_filters": OP9, "op13_importance_resampling": OP13}

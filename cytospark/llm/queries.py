@@ -15,6 +15,7 @@ from .oracle import ORACLE_SQL
 from .packing import pack_documents
 from .permutation_index import nearest
 from .quality import quality_scores
+from .resampling import resample
 from ..scratch import scratch_path
 from .substring_dedup import remove_repeats
 from .url_filters import match_captures, url_host
@@ -52,7 +53,7 @@ def _fold(folds: int):
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deleted-interpolation bigram scores of all documents."""
+    """Deleted-interpolation trigram scores of all documents."""
     return score(_table(spark, sf_dir, "documents"), _fold(7), folds=7, scored_fold=2, deleted_fold=3)
 
 
@@ -112,6 +113,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the benchmark's words; every document with its score."""
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -125,4 +131,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_url_filters": op9_url_filters,
     "op10_packing": op10_packing,
+    "op13_importance_resampling": op13_importance_resampling,
 }
