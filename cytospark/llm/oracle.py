@@ -95,4 +95,26 @@ select doc_id, n_features, weight, score, case when r <= 10 * (select count(*) f
 from noisy left join ranked using (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2, "op3_near_dedup": OP3, "op9_url_filters": OP9, "op13_importance_resampling": OP13}
+#: Every group against every kept term of its language, in whole numbers of 128 bits.
+OP11 = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+teams as (select distinct lang, source from d),
+words as (select r, lang, source, unnest(w) as term from d),
+kept as (select lang, term from words group by lang, term having count(distinct r) >= 3),
+v as (select lang, count(*) as v from kept group by lang),
+c as (select lang, source, term, count(*) as c from words semi join kept using (lang, term) group by all),
+grid as (select t.lang, t.source, k.term, coalesce(c.c, 0) as c from teams t join kept k using (lang) left join c on c.lang = t.lang and c.source = t.source and c.term = k.term),
+n as (select lang, source, sum(c)::hugeint as n from grid group by lang, source),
+p as (select lang, source, term, c, 1 + (1000000000::hugeint * (c + 1)) // (n + v) as p from grid join n using (lang, source) join v using (lang)),
+whole as (select lang, sum(n)::hugeint as n from n group by lang),
+q as (select lang, term, 1 + (1000000000::hugeint * (sum(c)::hugeint + 1)) // (any_value(n) + any_value(v)) as q from grid join whole using (lang) join v using (lang) group by lang, term),
+sums as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value from teams a join teams b on a.lang = b.lang and a.source <> b.source left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // q)::bigint as value from p join q using (lang, term) where c > 0 and p > q),
+ranked as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from (select * from pairs union all select * from terms))
+select * from ranked where part = 'pair' or rank <= 200
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2, "op3_near_dedup": OP3, "op9_url_filters": OP9, "op11_divergence_audit": OP11, "op13_importance_resampling": OP13}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrow_sequences import read_documents, write_sequences
 from .decontaminate import contaminated
+from .divergence_audit import divergence
 from .language_crf import identify
 from .lm_scoring import score
 from .near_dedup import near_duplicates
@@ -113,6 +114,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of each language against each other, and the terms each favours."""
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn towards the benchmark's words; every document with its score."""
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -131,5 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_url_filters": op9_url_filters,
     "op10_packing": op10_packing,
+    "op11_divergence_audit": op11_divergence_audit,
     "op13_importance_resampling": op13_importance_resampling,
 }

@@ -89,13 +89,13 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and the index of its text."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and the index of its text; ``between`` says which bytes are in no word."""
     n = len(data)
     if not n:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    solid = ~_SPACE[data]
+    solid = ~between[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     before = np.empty(n, dtype=bool)
