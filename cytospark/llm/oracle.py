@@ -117,4 +117,15 @@ ranked as (select *, cast(row_number() over (partition by lang, source, part ord
 select * from ranked where part = 'pair' or rank <= 200
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2, "op3_near_dedup": OP3, "op9_url_filters": OP9, "op11_divergence_audit": OP11, "op13_importance_resampling": OP13}
+#: Every query against every vector.
+OP12 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * x::double) as bigint)) as x from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+q as (select vec_id as query_id, x as y from v where vec_id % 100 = 0),
+s as (select query_id, vec_id, cast(list_sum(list_transform(list_zip(x, y), lambda p: p[1] * p[2])) as bigint) as score from q join v on query_id <> vec_id),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s)
+select * from r where rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": OP2, "op3_near_dedup": OP3, "op9_url_filters": OP9, "op11_divergence_audit": OP11, "op12_cover_tree": OP12, "op13_importance_resampling": OP13}

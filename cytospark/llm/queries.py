@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .arrow_sequences import read_documents, write_sequences
+from .cover_tree import top_k
 from .decontaminate import contaminated
 from .divergence_audit import divergence
 from .language_crf import identify
@@ -119,6 +120,11 @@ def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_table(spark, sf_dir, "documents"))
 
 
+def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all vectors for every 100th one, exactly."""
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn towards the benchmark's words; every document with its score."""
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -138,5 +144,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filters": op9_url_filters,
     "op10_packing": op10_packing,
     "op11_divergence_audit": op11_divergence_audit,
+    "op12_cover_tree": op12_cover_tree,
     "op13_importance_resampling": op13_importance_resampling,
 }
