@@ -55,14 +55,14 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]
     return pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(letters)]), doc
 
 
-def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _partials(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     """One row per (lang, term, source) of each chunk of documents."""
     for batch in trimmed(batches):
         data, offsets = text_bytes(batch.column("text"))
         langs, sources = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
         i, n = 0, batch.num_rows
         while i < n:
-            j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK_BYTES, side="right")) - 1))
+            j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + chunk_bytes, side="right")) - 1))
             terms, doc = _terms(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             if len(terms):
                 coded = terms.dictionary_encode()
@@ -135,7 +135,7 @@ def _scan(least_docs: int):
     return run
 
 
-def _contributions(groups: dict[str, tuple[list[str], np.ndarray, int]]):
+def _contributions(groups: dict[str, tuple[list[str], np.ndarray, int]], cells: int):
     """The second scan: what each kept term adds to every pair of sources of its language, and the terms that a source favours.
 
     ``groups`` has the sources, their totals and the number of kept terms of each language.
@@ -145,7 +145,7 @@ def _contributions(groups: dict[str, tuple[list[str], np.ndarray, int]]):
 
     def pairs_of(lang: str, tile: int, table: np.ndarray) -> pa.RecordBatch:
         g, h = np.nonzero(np.ones(table.shape, bool))
-        g = g + tile * _tile(len(place[lang]))
+        g = g + tile * _tile(len(place[lang]), cells)
         keep = g != h
         names = place[lang]
         return pa.RecordBatch.from_pydict({
@@ -162,13 +162,13 @@ def _contributions(groups: dict[str, tuple[list[str], np.ndarray, int]]):
                 part = table.slice(a, b - a)
                 lang, tile = part["lang"][0].as_py(), part["tile"][0].as_py()
                 sources, totals, kept = groups[lang]
-                size = _tile(len(sources))
+                size = _tile(len(sources), cells)
                 lo, hi = tile * size, min(len(sources), (tile + 1) * size)
                 if (lang, tile) != now:
                     if now:
                         yield pairs_of(*now, sums)
                     now, sums = (lang, tile), np.zeros((hi - lo, len(sources)), np.int64)
-                step = max(1, min(TERMS, CELLS // ((hi - lo) * len(sources))))
+                step = max(1, min(TERMS, cells // ((hi - lo) * len(sources))))
                 for i in range(0, part.num_rows, step):
                     some = part.slice(i, step).combine_chunks()
                     lists, numbers = some["sources"].combine_chunks(), some["counts"].combine_chunks()
@@ -193,12 +193,12 @@ def _contributions(groups: dict[str, tuple[list[str], np.ndarray, int]]):
     return run
 
 
-def _tile(sources: int) -> int:
+def _tile(sources: int, cells: int) -> int:
     """Sources of whose pairs with all others one task keeps the sums."""
-    return max(1, min(sources, CELLS // max(1, sources)))
+    return max(1, min(sources, cells // max(1, sources)))
 
 
-def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_docs: int = 3, top: int = 200) -> DataFrame:
+def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_docs: int = 3, top: int = 200, cells: int = CELLS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(lang, source, part, item, value, rank): each source of a language against its other sources, and its own terms.
 
     Part ``pair`` has every other source of the language, and the sum over the language's kept
@@ -218,7 +218,7 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     if (n := held.count()) > MOST_GROUPS:
         raise ValueError(f"{n} groups of language and source; at most {MOST_GROUPS} can be compared")
 
-    sent = rows.mapInArrow(_partials, "lang string, term string, source string, document long, docs long, n long")
+    sent = rows.mapInArrow(lambda batches: _partials(batches, chunk_bytes), "lang string, term string, source string, document long, docs long, n long")
     order = ["lang", "term", "source", "document"]
     runs = sent.repartition("lang", "term").sortWithinPartitions(*order).mapInArrow(_scan(least_docs), "lang string, term string, sources array<string>, counts array<long>")
     runs = materialise(runs, "terms")
@@ -233,9 +233,9 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         of.sort()
         groups[lang] = [x[1] for x in of], np.array([x[2] for x in of], np.int64), kept.get(lang, 0)
 
-    tiles = docs.sparkSession.createDataFrame([(lang, -(-len(s) // _tile(len(s)))) for lang, (s, _, _) in groups.items()], "lang string, tiles int")
+    tiles = docs.sparkSession.createDataFrame([(lang, -(-len(s) // _tile(len(s), cells))) for lang, (s, _, _) in groups.items()], "lang string, tiles int")
     dealt = runs.join(F.broadcast(tiles), "lang").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).drop("tiles").sortWithinPartitions("lang", "tile")
-    parts = materialise(dealt.mapInArrow(_contributions(groups), "lang string, source string, part string, item string, value long"), "parts")
+    parts = materialise(dealt.mapInArrow(_contributions(groups, cells), "lang string, source string, part string, item string, value long"), "parts")
     # Languages of which no term is kept have pairs of value 0, and sums of the others are not changed by it.
     held = held.select("lang", "source")
     other = held.select("lang", F.col("source").alias("item"))

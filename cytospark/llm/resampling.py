@@ -35,12 +35,13 @@ def _words(text_col: str) -> Column:
 
 def _buckets(words: str, longest: int, buckets: int) -> Column:
     """Bucket of every run of 1 to ``longest`` consecutive words."""
-    place = lambda run: F.pmod(F.crc32(F.encode(run, "UTF-8")), F.lit(buckets)).cast("int")
-    parts = [F.transform(words, place)]
+    runs, last = F.col(words), F.col(words)
     for n in range(2, longest + 1):
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: place(F.array_join(F.slice(words, i, n), " "))))
-    return F.concat(*parts)
+        # A run of n words is one of n - 1 and the word after it; the last one has none.
+        last = F.zip_with(last, F.slice(words, n, F.greatest(F.size(words), F.lit(0))), lambda run, word: F.concat(run, F.lit(" "), word))
+        last = F.slice(last, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
+        runs = F.concat(runs, last)
+    return F.transform(runs, lambda run: F.pmod(F.crc32(F.encode(run, "UTF-8")), F.lit(buckets)).cast("int"))
 
 
 def _counts(texts: DataFrame, buckets: int) -> list[int]:
