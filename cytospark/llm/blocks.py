@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType
 
 U64 = np.uint64
@@ -29,6 +29,13 @@ def corpus_size(docs: DataFrame, text_col: str) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
+def drawn(key: Column, most: float, n: int | float) -> Column:
+    """Whether a row is among about ``most`` of ``n``, by a 64-bit hash ``key``; this never falls to none."""
+    if most >= n:
+        return key.isNotNull()
+    return key < F.lit(int(most * (1 << 64) / n) - (1 << 63))
+
+
 def pieces(total: int, most: int, spread: int = 256) -> int:
     """Number of blocks of at most ``most`` bytes; a small corpus is spread over up to ``spread`` of a sixteenth of that or more."""
     return max(1, -(-total // max(1, min(most, max(most // 16, total // spread)))))

@@ -14,8 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from .blocks import drawn
 from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, trimmed, word_spans
 
 DIMENSIONS = 1 << 16
@@ -24,6 +25,8 @@ BLOCK = 32
 CHUNK_BYTES = 4 << 20
 #: Most documents of a language, and characters of one, in the sample that training uses.
 SAMPLE_DOCS, SAMPLE_BYTES = 250, 10_000
+#: Languages learned at most, the commonest ones: training texts pass through the driver.
+MOST_LANGUAGES = 100
 LEXICON_WORDS = 200
 
 _LETTER = np.zeros(256, bool)
@@ -275,19 +278,27 @@ def _pair_posteriors(emission, chain, n, transition, pairs) -> np.ndarray:
     return (left / np.maximum(left.sum(axis=(1, 2), keepdims=True), 1e-300)).sum(axis=0)
 
 
-def training_sample(docs: DataFrame, most: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
-    """At most ``most`` texts of each language, picked by id hash; of a longer one a span of ``most_bytes`` characters at a hashed place."""
+def training_sample(docs: DataFrame, most: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES, languages: int = MOST_LANGUAGES) -> tuple[list[str], list[str]]:
+    """At most ``most`` texts of each of the ``languages`` commonest languages, picked by a hash of id and text; of a longer one a span of ``most_bytes`` characters at a hashed place.
+
+    Equal rows are picked once.
+    """
     usable = docs.filter((F.octet_length("text") > 0) & F.col("lang").isNotNull())
     at = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.greatest(F.length("text") - F.lit(most_bytes), F.lit(1))).cast("int")
-    usable = usable.withColumn("text", F.when(F.length("text") > most_bytes, F.substring(F.col("text"), at + 1, F.lit(most_bytes))).otherwise(F.col("text")))
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000))
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    return _pick(usable.withColumn("draw", F.xxhash64("doc_id", "text", F.lit(5))), at, {r["lang"]: r["count"] for r in counts}, most, most_bytes)
+
+
+def _pick(usable: DataFrame, at: Column, counts: dict[str, int], most: int, most_bytes: int) -> tuple[list[str], list[str]]:
+    """About 1.2 times ``most`` rows of each language reach the driver, which keeps the ``most`` that are drawn first."""
     pick = F.lit(False)
     for name, n in counts.items():
-        pick = pick | ((F.col("lang") == name) & (draw < int(min(1.0, 1.2 * most / n) * 1_000_000)))
+        pick = pick | ((F.col("lang") == name) & drawn(F.col("draw"), 1.2 * most, n))
+    text = F.when(F.length("text") > most_bytes, F.substring(F.col("text"), at + 1, F.lit(most_bytes))).otherwise(F.col("text"))
+    rows = usable.filter(pick).select("doc_id", text.alias("text"), "lang", "draw").dropDuplicates(["lang", "draw"]).collect()
     taken: dict[str, int] = {}
     texts, labels = [], []
-    for r in sorted(usable.filter(pick).select("doc_id", "text", "lang", draw.alias("d")).collect(), key=lambda r: (r["d"], r["doc_id"] or 0)):
+    for r in sorted(rows, key=lambda r: (r["draw"], r["lang"])):
         if taken.get(r["lang"], 0) < most:
             taken[r["lang"]] = taken.get(r["lang"], 0) + 1
             texts.append(r["text"])

@@ -32,24 +32,24 @@ from d left join sizes on d.doc_id = sizes.doc_id left join least on d.doc_id =
 
 #: The list follows the rule that the query states; each capture meets the entries for its URL that hold at its day.
 OP9 = r"""
-with p as (
-  select page_id, url, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)), '') as host,
+with cut as (
+  select page_id, url, substr(url, strpos(url, '://') + 3) as rest from pages),
+p as (
+  select page_id, url, nullif(lower(case when auth like '[%' then string_split(auth, ']')[1] || ']' else rtrim(string_split(auth, ':')[1], '.') end), '') as host,
+    list_filter(string_split(string_split(string_split(substr(rest, length(whole) + 1), '?')[1], '#')[1], '/'), lambda x: x <> '') as steps,
     cast(date '2024-01-01' + cast(('0x' || substr(md5(url), 1, 6))::bigint % 366 as integer) as date) as fetched_at
-  from pages),
+  from (select *, string_split(whole, '@')[-1] as auth from (select *, string_split(string_split(string_split(rest, '/')[1], '?')[1], '#')[1] as whole from cut))),
 raw as (
-  select distinct unnest([host, concat_ws('/', host, s), parent]) as entry
-  from (select host, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1)) as s, regexp_extract(host, '^[^.]+\.(.+)$', 1) as parent from p)),
+  select distinct unnest([host, case when len(steps) > 0 then host || '/' || steps[1] else host || '/' end, array_to_string(string_split(host, '.')[2:], '.')]) as entry from p),
 entries as (select entry, ('0x' || substr(md5(entry), 1, 6))::bigint as n from raw where entry is not null and entry <> '' and ('0x' || substr(md5(entry), 1, 6))::bigint % 2 = 0),
 events as (
-  select lower(entry) as entry, 'add' as action, cast(date '2024-01-01' + cast(n // 7 % 180 as integer) as date) as day from entries
-  union select lower(entry), 'remove', cast(date '2024-01-01' + cast(n // 7 % 180 + 60 as integer) as date) from entries where n % 3 < 2
-  union select lower(entry), 'add', cast(date '2024-01-01' + cast(n // 7 % 180 + 120 as integer) as date) from entries where n % 3 = 1),
+  select entry as entry, 'add' as action, cast(date '2024-01-01' + cast(n // 7 % 180 as integer) as date) as day from entries
+  union select entry, 'remove', cast(date '2024-01-01' + cast(n // 7 % 180 + 60 as integer) as date) from entries where n % 3 < 2
+  union select entry, 'add', cast(date '2024-01-01' + cast(n // 7 % 180 + 120 as integer) as date) from entries where n % 3 = 1),
 changes as (select * from (select *, lag(action) over (partition by entry order by day, action desc) as before from events) where before is distinct from action),
 spans as (select * from (select entry, action, day as valid_from, lead(day) over (partition by entry order by day, action desc) as valid_to from changes) where action = 'add' and (valid_to is null or valid_to > valid_from)),
 parts as (
-  select page_id, url, host, fetched_at, string_split(host, '.') as labels,
-    list_filter(string_split(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1)), '/'), lambda x: x <> '') as steps
-  from p where host is not null),
+  select page_id, url, host, fetched_at, string_split(host, '.') as labels, steps from p where host is not null),
 keyed as (
   select distinct page_id, fetched_at, unnest(list_concat(
     list_transform(range(1, len(labels) + 1), lambda i: array_to_string(list_slice(labels, i, len(labels)), '.')),

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .textkit import batches_of_bytes, text_bytes, trimmed
-from .tokenise import encoder
+from .tokenise import UnitEncoder
 
 BATCH_BYTES = 4 << 20
 
@@ -196,7 +196,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, limits: Lim
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), loss_from.cast("long").alias("loss_from"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(tokenizer)
+        bpe = UnitEncoder(tokenizer)
         sequence = (TaskContext.get().partitionId() + 1) << 36
         for batch in trimmed(batches):
             ids_of = batch.column("doc_id")

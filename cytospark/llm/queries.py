@@ -97,7 +97,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     pages = pages.withColumn("fetched_at", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(_number(F.col("url")), F.lit(366)).cast("int")))
     host = url_host(F.col("url"))
-    section = F.concat_ws("/", host, F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)))
+    section = F.concat_ws("/", host, F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1))
     parent = F.regexp_extract(host, r"^[^.]+\.(.+)$", 1)
     entries = pages.select(F.explode(F.array(host, section, parent)).alias("entry")).filter("entry is not null and entry <> ''").distinct()
     n = _number(F.col("entry"))

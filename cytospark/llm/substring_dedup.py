@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from .blocks import bucket_slices, ordered_blocks, pack_sorted, pieces, unpack_sorted
-from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, trim, window_hashes, word_spans
+from .textkit import U64, batches_of_bytes, span_hashes, text_bytes, trim, window_hashes, word_spans
 
 #: Bytes of text that one block holds at most, and that are hashed at a time; a bucket holds the windows of twice a block.
 BLOCK_BYTES = 8 << 20
@@ -49,7 +49,7 @@ def _windows(table: pa.Table, window: int, more_bytes: int) -> tuple[np.ndarray,
             inside = doc[: len(h)] == doc[window - 1 :]
             hashes.append(h[inside])
             if more_bytes:
-                other = window_hashes(mix(words + U64(0x5851F42D4C957F2D)), window)[inside]
+                other = window_hashes(span_hashes(part, starts, ends, seed=2), window)[inside]
                 more.append((other >> U64(64 - 8 * more_bytes)).astype(np.uint32))
             else:
                 more.append(np.zeros(int(inside.sum()), np.uint32))

@@ -2,13 +2,15 @@
 
 Texts are read straight from Arrow buffers as bytes. A word is a maximal run of
 bytes other than space, tab, line feed, vertical tab, form feed and carriage return.
-Word hashes are polynomial (Rabin-Karp) hashes modulo 2**64 taken from prefix sums,
-so no Python string is made per word.
+Word hashes scramble eight bytes at a time, so that no arrangement of letters cancels out;
+long words get a cryptographic hash. Windows of words have polynomial (Rabin-Karp)
+hashes modulo 2**64 of these, taken from prefix sums. No Python string is made per word.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,9 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-#: Bytes or words hashed at a time: the tables of powers that each worker keeps are no longer than twice this.
+#: Words hashed at a time in windows: the tables of powers that each worker keeps are no longer than twice this.
 SEGMENT = 1 << 16
-_BASE = 0x9E3779B97F4A7C15 | 1
+#: Longer words are hashed one by one.
+LONGEST_LANES = 64
+_LANE_MASK = np.array([(1 << (8 * i)) - 1 for i in range(9)], dtype=U64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -52,14 +56,6 @@ def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
 
 
-@lru_cache(maxsize=8)
-def _letters(seed: int, fold: bool) -> np.ndarray:
-    table = np.random.default_rng(seed).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
-    if fold:
-        table[65:91] = table[97:123]
-    return table
-
-
 @lru_cache(maxsize=4)
 def _powers(base: int, size: int) -> np.ndarray:
     out = np.full(size, base, dtype=U64)
@@ -111,21 +107,27 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPA
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1, fold: bool = False) -> np.ndarray:
-    """64-bit hash of each byte span; ``fold`` treats A-Z as a-z. Spans ascend and don't overlap."""
-    out = np.empty(len(starts), dtype=U64)
-    table = _letters(seed, fold)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + SEGMENT)))
-        base = starts[i]
-        piece = data[base : ends[j - 1]]
-        up, down = _power_tables(_BASE, len(piece))
-        sums = np.empty(len(piece) + 1, dtype=U64)
-        sums[0] = 0
-        np.cumsum(table[piece] * up[: len(piece)], out=sums[1:])
-        s = starts[i:j] - base
-        out[i:j] = mix((sums[ends[i:j] - base] - sums[s]) * down[s])
-        i = j
+    """64-bit hash of each byte span; ``fold`` treats A-Z as a-z.
+
+    Unlike spans of equal length up to 8 bytes have unlike hashes.
+    """
+    if not len(starts):
+        return np.zeros(0, U64)
+    if fold:
+        data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    length = ends - starts
+    out = mix(length.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(seed * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
+    live, at = np.flatnonzero((length > 0) & (length <= LONGEST_LANES)), 0
+    while len(live):
+        rest = length[live] - at
+        out[live] = mix(out[live] ^ (lanes[starts[live] + at] & _LANE_MASK[np.minimum(rest, 8)]))
+        live, at = live[rest > 8], at + 8
+    for i in np.flatnonzero(length > LONGEST_LANES):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        out[i] = int.from_bytes(digest, "little")
     return out
 
 

@@ -3,8 +3,9 @@
 A text is cut only where the tokenizer's own pre-tokenizer always cuts: before a single
 space between visible characters, and between a letter and an ASCII punctuation mark
 other than an apostrophe. Units between cuts are encoded by the tokenizers library and
-remembered per worker process by a 64-bit hash, in flat arrays of bounded size. A text in
-which a special token's string may occur is encoded in one piece.
+remembered by a 64-bit hash, in flat arrays of bounded size, and
+compared with its bytes when it is met again. A text in which a special token's string may occur,
+or two units that share a hash, is encoded in one piece.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ import numpy as np
 from .textkit import U64, batches_of_bytes, span_hashes
 
 CHUNK_BYTES = 2 << 20
-MOST_UNITS = 1_500_000
+#: Units that are remembered at most, and bytes of them.
+MOST_UNITS, MOST_BYTES = 1_000_000, 32 << 20
 LONGEST_KEPT = 256
 
 _LETTER = np.zeros(256, bool)
@@ -52,7 +54,7 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class UnitEncoder:
-    """Encodes batches of texts; one per worker process and tokenizer file."""
+    """Encodes batches of texts by a tokenizer file; its store is bounded in units and bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,6 +74,9 @@ class UnitEncoder:
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.used = np.zeros(0, bool)
         self.pool = np.zeros(0, np.uint32)
+        #: The units' own bytes.
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.bytes = np.zeros(0, np.uint8)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -106,18 +111,26 @@ class UnitEncoder:
         start = np.empty(len(units), np.int64)
         start[order] = len(self.pool) + np.cumsum(length[order]) - length[order]
         self.pool = np.concatenate([self.pool, *parts])
+        size = np.array([len(u) for u in units], np.int64)
+        begin = len(self.bytes) + np.cumsum(size) - size
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(units), np.uint8)])
         at = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, at, keys)
+        self.at, self.size = np.insert(self.at, at, begin), np.insert(self.size, at, size)
         self.start, self.length = np.insert(self.start, at, start), np.insert(self.length, at, length)
         self.used = np.insert(self.used, at, False)
 
     def _forget(self) -> None:
         """Keep the units that were asked for again, if the store is full."""
-        if len(self.keys) < MOST_UNITS:
+        if len(self.keys) < MOST_UNITS and len(self.bytes) < MOST_BYTES:
             return
-        keep = self.used if self.used.sum() < MOST_UNITS // 2 else np.zeros(len(self.used), bool)
-        pool_at = _ragged(self.start[keep], self.length[keep])
-        self.pool = self.pool[pool_at]
+        keep = self.used
+        if keep.sum() >= MOST_UNITS // 2 or self.size[keep].sum() >= MOST_BYTES // 2:
+            keep = np.zeros(len(self.used), bool)
+        self.pool = self.pool[_ragged(self.start[keep], self.length[keep])]
+        self.bytes = self.bytes[_ragged(self.at[keep], self.size[keep])]
+        self.size = self.size[keep]
+        self.at = np.cumsum(self.size) - self.size
         self.keys, self.length = self.keys[keep], self.length[keep]
         self.start = np.cumsum(self.length, dtype=np.int64) - self.length
         self.used = np.zeros(len(self.keys), bool)
@@ -154,11 +167,23 @@ class UnitEncoder:
         upto = np.r_[0, np.cumsum(length)]
         edge = upto[np.searchsorted(starts, offsets)]
         counts = np.diff(edge)
-        special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
-        if len(special):
-            return self._with_whole(data, offsets, ids, edge, np.unique(np.searchsorted(offsets, special, side="right") - 1))
+        odd = np.r_[np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)), self._strange(data, starts, ends - starts, at[which])]
+        if len(odd):
+            return self._with_whole(data, offsets, ids, edge, np.unique(np.searchsorted(offsets, odd, side="right") - 1))
         return ids, counts
 
+    def _strange(self, data: np.ndarray, starts: np.ndarray, size: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """Places of units that are not the remembered one of their hash."""
+        even = self.size[unit] == size
+        if not even.all():
+            other = starts[~even]
+            starts, size, unit = starts[even], size[even], unit[even]
+            data = data[_ragged(starts, size)]
+        else:
+            other = starts[:0]
+        differ = np.flatnonzero(self.bytes[_ragged(self.at[unit], size)] != data)
+        return np.r_[other, starts[np.unique(np.searchsorted(np.cumsum(size), differ, side="right"))]] if len(differ) else other
+
     def _with_whole(self, data, offsets, ids, edge, rows):
         """The same, with the texts ``rows`` encoded in one piece each."""
         parts = [ids[edge[k] : edge[k + 1]] for k in range(len(offsets) - 1)]
@@ -174,7 +199,7 @@ def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(n) + np.repeat(start - (total - length), length)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> UnitEncoder:
-    """This worker process's encoder for a tokenizer file."""
+    """This worker process's encoder for a tokenizer file, for tasks that read many small groups."""
     return UnitEncoder(path)

@@ -13,15 +13,22 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 BROADCAST_ROWS = 200_000
 
 
+def _canonical(entry: Column) -> Column:
+    """An entry as URLs are looked up: the host in lower case and without end dots, the path as it is."""
+    host = F.rtrim(F.lower(F.substring_index(entry, "/", 1)), F.lit("."))
+    return F.when(F.contains(entry, F.lit("/")), F.concat(host, F.lit("/"), F.regexp_replace(entry, "^[^/]*/", ""))).otherwise(host)
+
+
 def validity_intervals(events: DataFrame) -> DataFrame:
     """(entry, valid_from, valid_to) of each ``entry`` from its (entry, action, at) history.
 
     ``action`` is ``add`` or ``remove``. An addition holds from its time until the next
-    removal, exclusive, or for ever (null). Additions to an entry that is valid, and removals of one
+    removal, exclusive, or for ever (null). Hosts are
+    compared in lower case, paths as they are. Additions to an entry that is valid, and removals of one
     that is not, change nothing; of events at one time the removal comes first.
     Events with a null field or another action are left out.
     """
-    e = events.select(F.lower("entry").alias("entry"), "action", "at").dropna().filter(F.col("action").isin("add", "remove")).distinct()
+    e = events.select(_canonical(F.col("entry").cast("string")).alias("entry"), "action", "at").dropna().filter(F.col("action").isin("add", "remove")).distinct()
     w = W.partitionBy("entry").orderBy("at", F.desc("action"))
     e = e.withColumn("before", F.lag("action").over(w)).filter(~F.col("before").eqNullSafe(F.col("action")))
     e = e.withColumn("valid_to", F.lead("at").over(w))
@@ -29,19 +36,32 @@ def validity_intervals(events: DataFrame) -> DataFrame:
     return e.select("entry", F.col("at").alias("valid_from"), "valid_to")
 
 
+def _authority(url: Column) -> Column:
+    """What stands between ``//`` and the path, without user names: all after the last ``@``."""
+    whole = F.regexp_extract(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#\\]*)", 1)
+    return F.substring_index(whole, "@", -1)
+
+
 def url_host(url: Column) -> Column:
-    """Lower-case host of a URL; null where there is none."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))
+    """Lower-case host of a URL without user name, port and end dots; null where there is none.
+
+    An address in brackets keeps them. Of several ``@`` the last one ends the user name, and a
+    backslash ends the host as a slash does, which is how browsers read both.
+    """
+    at = _authority(url)
+    inside = F.regexp_extract(at, r"^(\[[^\]]*\])", 1)
+    host = F.lower(F.when(inside != "", inside).otherwise(F.rtrim(F.substring_index(at, ":", 1), F.lit("."))))
     return F.when(host != "", host)
 
 
 def entry_keys(url: Column) -> Column:
-    """List entries that would match a URL: host, its parent domains, host with each path prefix."""
+    """List entries that would match a URL: host, its parent domains, host with each path prefix, whose case counts."""
     host = url_host(url)
     labels = F.split(host, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
-    steps = F.filter(F.split(F.lower(path), "/"), lambda s: s != "")
+    domains = F.when(host.startswith("["), F.array(host)).otherwise(domains)
+    path = F.regexp_extract(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\\]*[/\\]([^?#]*)", 1)
+    steps = F.filter(F.split(path, r"[/\\]"), lambda s: s != "")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.concat_ws("/", host, F.array_join(F.slice(steps, 1, i), "/")))
     prefixes = F.when(F.size(steps) > 0, prefixes).otherwise(F.array().cast("array<string>"))
     return F.when(host.isNotNull(), F.array_distinct(F.concat(domains, prefixes))).otherwise(F.array().cast("array<string>"))
