@@ -37,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     c = sub.add_parser("combine", help="concatenate datasets")
     c.add_argument("inputs", nargs="+"), c.add_argument("--output", required=True)
     c.add_argument("--join", default="outer"), c.add_argument("--merge", default="unique")
+    c.add_argument("--no-graphs", action="store_true", help="leave the inputs' neighbour graphs out")
     c = sub.add_parser("features", help="QC to neighbour graph")
     c.add_argument("input"), c.add_argument("output"), c.add_argument("--layer"), c.add_argument("--raw", action="store_true")
     c.add_argument("--genes"), c.add_argument("--top-of-list", type=int), c.add_argument("--top-after-normalising", type=int)
@@ -70,7 +71,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         data = read_dataset(spark, a.input)
         write(spark, data.with_(obs=columns.harmonise(data.obs, a.kind, a.cell_class, a.cell_type)), a)
     elif a.command == "combine":
-        combine.concat({p: read_dataset(spark, p) for p in a.inputs}, a.join, a.merge).write(a.output)
+        combine.concat({p: read_dataset(spark, p) for p in a.inputs}, a.join, a.merge, pairwise=not a.no_graphs).write(a.output)
     elif a.command == "features":
         given = {"top": a.n_genes, "k": a.k_neighbors, "by_donor": a.individual_pca or None}
         settings = replace(settings, **{k: v for k, v in given.items() if v is not None})
@@ -80,10 +81,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         )
         out.data.write(f"{a.output}/data")
         out.pca.write.parquet(f"{a.output}/pca")
-        out.edges.write.parquet(f"{a.output}/edges")
         if out.scores is not None:
             write_scores(out.scores, a.output)
         put_text(spark, f"{a.output}/config.json", json.dumps(asdict(settings), indent=2))
+        out.close()
     elif a.command == "aggregate":
         aggregate.run(spark, a.input_dir, a.output_dir, a.clinical_csv, dict(x.split("=", 1) for x in a.major), a.individuals_csv, a.resume, a.keep_intermediate or not a.single_file, a.single_file)
     elif a.command == "genes":

@@ -21,9 +21,13 @@ from ..operators import combine as cb
 from ..operators import filters as fi
 from ..operators import joins as jo
 from ..operators import report as rp
-from ..operators.embedding import components, fuzzy_edges, neighbours
+from ..operators.cells import take_cells, without_prefix
+from ..operators.components import components
+from ..operators.embedding import fuzzy_edges, neighbours
 from ..operators.selection import by_dispersion, by_standardised_variance
+from ..scratch import materialise
 from .aggregate import as_written, class_stats
+from .feature import features
 
 SEGMENTS = {"AUTOMOBILE": "Ex", "BUILDING": "In", "FURNITURE": "Ast", "HOUSEHOLD": "Mic", "MACHINERY": "Ex"}
 PRIORITY = {"1-URGENT": 4, "2-HIGH": 3, "3-MEDIUM": 2, "4-NOT SPECIFIED": 1}
@@ -401,20 +405,90 @@ HALVES_SQL = "cat AS (SELECT e.*, CASE WHEN donor < 12 THEN 'a' ELSE 'b' END AS
 @query(CTE + HALVES_SQL + "SELECT source_file, cell_id, gene, value FROM cat")
 def concat_outer(spark, d):
     """SE1, JO6."""
-    return cb.concat(_halves(spark, d)).expr.select("source_file", "cell_id", "gene", "value")
+    return cb.concat(_halves(spark, d)).expr.select("source_file", without_prefix(F.col("cell_id")).alias("cell_id"), "gene", "value")
 
 
 @query(CTE + HALVES_SQL + "SELECT source_file, cell_id, gene, value FROM cat WHERE gene IN (SELECT gene FROM var WHERE brand <> 'Brand#12')")
 def concat_inner(spark, d):
     """SE1, JO6."""
-    return cb.concat(_halves(spark, d), join="inner").expr.select("source_file", "cell_id", "gene", "value")
+    return cb.concat(_halves(spark, d), join="inner").expr.select("source_file", without_prefix(F.col("cell_id")).alias("cell_id"), "gene", "value")
 
 
 @query(CTE + """f AS (SELECT donor, min(cell_ord) AS first FROM obs GROUP BY 1), o AS (SELECT donor, CAST(row_number() OVER (ORDER BY first) - 1 AS VARCHAR) AS "all" FROM f)
 SELECT cell_id || '-' || "all" AS cell_id, donor, "all" FROM obs JOIN o USING (donor)""")
 def relabel_slices(spark, d):
     """SE3."""
-    return cb.relabel_slices(dataset(spark, d).obs, "donor").select("cell_id", "donor", "all")
+    return cb.relabel_slices(dataset(spark, d), "donor").obs.select("cell_id", "donor", "all")
+
+
+@query(CTE + """cat AS (SELECT 'a' AS source_file, cell_id, gene, value FROM expr UNION ALL SELECT 'b', cell_id, gene, value FROM expr JOIN var USING (gene) WHERE brand <> 'Brand#12'),
+sizes AS (SELECT source_file, cell_id, SUM(value) AS t FROM cat GROUP BY 1, 2)
+SELECT source_file, cell_id AS source_cell_id, gene, round(ln(1 + value * 10000 / t), 6) AS norm FROM cat JOIN sizes USING (source_file, cell_id)""")
+def concat_clashing_cells(spark, d):
+    """SE1, NK1: two files whose cells have the same ids are twice as many cells, each with a library size of its own."""
+    x = dataset(spark, d)
+    both = cb.concat({"a": x, "b": fi.keep_genes(x, x.var.filter("brand <> 'Brand#12'").select("gene"))})
+    cells = both.obs.select("cell_id", "source_cell_id")
+    return rounded(lognorm(both).join(cells, "cell_id").select("source_file", "source_cell_id", "gene", "norm"), "norm")
+
+
+GRAPH_SQL = """v AS (SELECT CAST(vec_id AS VARCHAR) AS cell_id, vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+pairs AS (SELECT a.label, a.vec_id AS src, b.vec_id AS dst, list_distance(a.x, b.x) AS d FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id),
+near AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY d, CAST(dst AS VARCHAR)) AS rank FROM pairs),
+f AS (SELECT label, min(vec_id) AS first FROM v GROUP BY 1), o AS (SELECT label, CAST(row_number() OVER (ORDER BY first) - 1 AS VARCHAR) AS slice FROM f),
+vals AS (SELECT cell_id, len(list_filter(x, lambda c: c > 0)) AS n_values FROM v)
+"""
+
+
+def _graph(spark, d) -> Dataset:
+    """Vectors as cells: what is above 0 as values, the label as donor, the nearest as graph."""
+    e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("cell_id"), F.col("vec_id").alias("cell_ord"), F.col("label").alias("donor"), F.col("embedding").cast("array<double>").alias("pc"))
+    expr = e.select("cell_id", F.posexplode("pc").alias("at", "value")).filter("value > 0").select(F.lit(MAIN).alias("layer"), "cell_id", F.col("at").cast("string").alias("gene"), "value")
+    genes = expr.select("gene").distinct().withColumn("gene_ord", F.col("gene").cast("bigint"))
+    return Dataset(expr, e.drop("pc"), genes, neighbours(e, 5).select("src", "dst", "rank"))
+
+
+@query("WITH " + GRAPH_SQL + """, parts AS (SELECT * FROM (VALUES ('a', 0), ('b', 1)) AS t(source_file, part))
+SELECT source_file, part || '-' || n.src AS src, part || '-' || n.dst AS dst, CAST(n.rank AS INTEGER) AS rank, CAST(n_values AS BIGINT) AS n_values
+FROM parts CROSS JOIN near n JOIN vals ON cell_id = CAST(n.src AS VARCHAR) WHERE rank <= 5 AND (part = 0 OR n.label < 5)""")
+def concat_graphs(spark, d):
+    """SE1: graphs of two files with equal ids stay apart; both ends of every edge are cells of the combined file."""
+    x = _graph(spark, d)
+    both = cb.concat({"a": x, "b": take_cells(x, x.obs.filter("donor < 5"))})
+    ends = both.edges.join(both.obs.select(F.col("cell_id").alias("src"), "source_file"), "src").join(both.obs.select(F.col("cell_id").alias("dst")), "dst")
+    values = both.expr.groupBy(F.col("cell_id").alias("src")).agg(F.count(F.lit(1)).alias("n_values"))
+    return ends.join(values, "src").select("source_file", "src", "dst", "rank", "n_values")
+
+
+@query("WITH " + GRAPH_SQL + """SELECT src || '-' || slice AS src, dst || '-' || slice AS dst, slice AS "all", CAST(rank AS INTEGER) AS rank, CAST(n_values AS BIGINT) AS n_values
+FROM near JOIN o USING (label) JOIN vals ON cell_id = CAST(src AS VARCHAR) WHERE rank <= 5""")
+def slice_graph(spark, d):
+    """SE3: after slices got their labels, the graph, the cells and the values still join."""
+    x = cb.relabel_slices(_graph(spark, d), "donor")
+    ends = x.edges.join(x.obs.select(F.col("cell_id").alias("src"), "all"), "src").join(x.obs.select(F.col("cell_id").alias("dst")), "dst")
+    values = x.expr.groupBy(F.col("cell_id").alias("src")).agg(F.count(F.lit(1)).alias("n_values"))
+    return ends.join(values, "src").select("src", "dst", "all", "rank", "n_values")
+
+
+@query(CTE + f"""fit AS (SELECT cell_id FROM expr WHERE value > 0 GROUP BY 1 HAVING count(*) >= {LEAST}),
+cut AS (SELECT e.cell_id, gene, value FROM expr e JOIN var USING (gene) WHERE brand < 'Brand#35' AND cell_id IN (SELECT cell_id FROM fit)),
+t AS (SELECT cell_id, SUM(value) AS t FROM cut GROUP BY 1),
+sums AS (SELECT cell_id, count(*) AS n_genes, SUM(ln(1 + value * {FEATURE_TARGET} / t)) AS s FROM cut JOIN t USING (cell_id) GROUP BY 1),
+alive AS (SELECT * FROM obs WHERE cell_id IN (SELECT cell_id FROM fit) AND donor IN (SELECT donor FROM obs WHERE cell_id IN (SELECT cell_id FROM fit) GROUP BY 1 HAVING count(*) > 1)),
+f AS (SELECT donor, min(cell_ord) AS first FROM alive GROUP BY 1), o AS (SELECT donor, CAST(row_number() OVER (ORDER BY first) - 1 AS VARCHAR) AS slice FROM f)
+SELECT cell_id || '-' || slice AS cell_id, slice AS "all", COALESCE(n_genes, 0) AS n_genes, round(COALESCE(s, 0), 6) AS sum_norm, true AS in_graph, true AS has_components
+FROM alive JOIN o USING (donor) LEFT JOIN sums USING (cell_id)""")
+def feature_cells(spark, d):
+    """Entry A with a list of genes: each cell it gives, with its values, whether it is at both ends of the graph, and its components."""
+    x = dataset(spark, d)
+    x = x.with_(obs=x.obs.withColumn("projid", F.col("donor").cast("string")))
+    out = features(x, min_genes=LEAST, genes=x.var.filter("brand < 'Brand#35'").select("gene"), n_components=5, k=6)
+    sums = out.data.expr.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_genes"), F.sum("norm").alias("sum_norm"))
+    src, dst = (out.edges.select(F.col(c).alias("cell_id")).distinct() for c in ("src", "dst"))
+    ends = src.intersect(dst).withColumn("in_graph", F.lit(True))
+    known = out.pca.select("cell_id", (F.size("pc") > 0).alias("has_components"))
+    cells = out.data.obs.select("cell_id", "all").join(sums, "cell_id", "left").join(ends, "cell_id", "left").join(known, "cell_id", "left")
+    return cells.select("cell_id", "all", F.coalesce("n_genes", F.lit(0)).alias("n_genes"), r6(F.coalesce("sum_norm", F.lit(0.0))).alias("sum_norm"), F.coalesce("in_graph", F.lit(False)).alias("in_graph"), F.coalesce("has_components", F.lit(False)).alias("has_components"))
 
 
 LISTS_SQL = """WITH l AS (SELECT DISTINCT p_brand AS list, CAST(p_size AS VARCHAR) || p_type AS gene FROM part UNION SELECT 'every', CAST(p_size AS VARCHAR) || p_type FROM part),
@@ -548,11 +622,7 @@ def pca_scores(spark, d):
     x = dataset(spark, d)
     x = x.with_(expr=lognorm(x))
     scores = by_dispersion(x.expr, x.obs.count(), TOP_GENES)
-    # The components need these names on the driver too; the choice is made once.
-    chosen = [(r["gene"],) for r in scores.filter("highly_variable").select("gene").collect()]
-    few = fi.keep_genes(x, spark.createDataFrame(chosen, "gene string"))
-    if not chosen:
-        return spark.createDataFrame([], "cell_id string, pc array<double>")
+    few = fi.keep_genes(x, materialise(scores.filter("highly_variable").select("gene"), "chosen"))
     return components(few).select("cell_id", F.transform("pc", lambda v: F.round(F.abs(v), 6)).alias("pc"))
 
 

@@ -14,7 +14,8 @@ from ..operators.combine import top_genes
 
 def read_dataset(spark: SparkSession, path: str) -> Dataset:
     """SC1: a dataset that ``Dataset.write`` wrote; any store that Spark reads."""
-    return Dataset(*(spark.read.parquet(f"{path}/{t}") for t in ("expr", "obs", "var")))
+    edges = spark.read.parquet(f"{path}/edges") if exists(spark, f"{path}/edges") else None
+    return Dataset(*(spark.read.parquet(f"{path}/{t}") for t in ("expr", "obs", "var")), edges)
 
 
 def var_names(spark: SparkSession, path: str) -> DataFrame:
