@@ -17,8 +17,10 @@ from .operators import columns, combine, joins
 from .operators.report import check, preview
 from .plans import aggregate
 from .plans.feature import features
-from .sources.files import check_path, label_of, read_dataset, read_gene_list, read_table, var_names, write_list
-from .sources.runs import put_text, replace_in_place, write_scores
+from .sources.files import check_path, label_of, read_compared_list, read_dataset, read_gene_list, read_table, var_names, write_list
+from .sources.runs import write_scores
+from .sources.store import put_text
+from .sources.versions import commit
 
 
 def parser() -> argparse.ArgumentParser:
@@ -90,7 +92,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
     elif a.command == "genes":
         write_list(var_names(spark, a.input), a.output)
     elif a.command == "overlap":
-        lists = {label_of(spark, p): read_gene_list(spark, p, comments=True) for p in a.lists}
+        lists = {label_of(spark, p): read_compared_list(spark, p) for p in a.lists}
         rows = reduce(DataFrame.unionByName, [g.select(F.lit(n).alias("list"), "gene") for n, g in lists.items()])
         order = combine.group_lists(list(lists), {n: m.split(",") for n, m in (x.split("=", 1) for x in a.group)})
         print(combine.overlap_table(combine.overlaps(rows), [x for _, x in order]))
@@ -106,11 +108,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def write(spark: SparkSession, data: Dataset, a: argparse.Namespace) -> None:
-    """To the output, or over the input by way of a staging folder."""
+    """To the output, or as a new version of the input."""
     if a.output:
         data.write(a.output)
     else:
-        replace_in_place(spark, data.write, a.input)
+        commit(spark, data.write, a.input)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -114,17 +114,18 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def profile(df: DataFrame, columns: Sequence[str], max_categories: int = 20) -> DataFrame:
     """AG13: one row per column: type, distinct and missing values, and counts if the values are few.
 
-    One wide pass for the numbers; a second only for the columns that have few values.
+    Rows are unpivoted and counted by (column, value), each task first by itself: one shuffle however many
+    columns there are, of which both the numbers and the lists are made. Values are told apart as text.
     """
     kinds = dict(df.dtypes)
-    wide = df.agg(*(x for i, c in enumerate(columns) for x in (F.count_distinct(F.col(f"`{c}`")).alias(f"u{i}"), F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}"))))
-    rows = F.array(*(F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.col(f"u{i}").alias("n_unique"), F.col(f"m{i}").alias("n_missing")) for i, c in enumerate(columns)))
-    head = wide.select(F.explode(rows).alias("r")).select("r.*")
-    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns))
-    counts = df.select(F.explode(pairs).alias("r")).select("r.*").filter("value is not null").groupBy("column", "value").count()
-    few = counts.join(head.filter(F.col("n_unique") <= max_categories).select("column"), "column", "left_semi")
-    lists = few.groupBy("column").agg(F.sort_array(F.collect_list(F.struct("value", "count"))).alias("value_counts"))
-    return head.join(lists, "column", "left")
+    pairs = F.array(*(F.struct(F.lit(i).alias("at"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(columns)))
+    counts = df.select(F.inline(pairs)).groupBy("at", "value").count()
+    head = counts.groupBy("at").agg(F.count("value").alias("n_unique"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).alias("n_missing"))
+    few = counts.filter("value is not null").join(head.filter(F.col("n_unique") <= max_categories).select("at"), "at", "left_semi")
+    lists = few.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("value", "count"))).alias("value_counts"))
+    names = df.sparkSession.createDataFrame([(i, c, kinds[c]) for i, c in enumerate(columns)], "at int, column string, type string")
+    out = names.join(head, "at", "left").join(lists, "at", "left")
+    return out.select("column", "type", *(F.coalesce(n, F.lit(0)).alias(n) for n in ("n_unique", "n_missing")), "value_counts")
 
 
 def matrix_profile(expr: DataFrame, n_cells: int, n_genes: int) -> DataFrame:

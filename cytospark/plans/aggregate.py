@@ -12,7 +12,8 @@ from ..operators.columns import clinical_columns, counts_last
 from ..operators.joins import donor_metadata
 from ..operators.report import warn_of_fractions, warn_of_gene_counts
 from ..sources.files import read_dataset, read_table, resolve_inputs, write_tsv
-from ..sources.runs import remove, summary, write_single, write_summary
+from ..sources.runs import summary, write_single, write_summary
+from ..sources.store import remove
 
 STATS = "donor_id", "granularity", "cell_type", "gene_symbol", "mean_expr", "frac_expressed", "n_cells"
 

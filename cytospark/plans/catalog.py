@@ -527,11 +527,13 @@ def value_counts(spark, d):
 PROFILED = ("c_custkey", "c_nationkey", "c_mktsegment")
 
 
-@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_unique, count(*) FILTER ({c} IS NULL) AS n_missing, CASE WHEN count(DISTINCT {c}) <= 20 THEN count(DISTINCT {c}) END AS n_listed FROM customer" for c in PROFILED))
+@query(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_unique, count(*) FILTER ({c} IS NULL) AS n_missing, CASE WHEN count(DISTINCT {c}) BETWEEN 1 AND 20 THEN (SELECT string_agg(v || '=' || n, ';' ORDER BY v) FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM customer WHERE {c} IS NOT NULL GROUP BY 1)) END AS listed FROM customer" for c in PROFILED
+))
 def profile_columns(spark, d):
-    """AG13, AG15."""
+    """AG13, AG15: with the counts of columns that have few values."""
     out = ag.profile(table(spark, d, "customer"), PROFILED)
-    return out.select("column", "n_unique", "n_missing", F.when(F.col("value_counts").isNotNull(), F.size("value_counts").cast("bigint")).alias("n_listed"))
+    return out.select("column", "n_unique", "n_missing", F.array_join(F.transform("value_counts", lambda v: F.concat(v["value"], F.lit("="), v["count"].cast("string"))), ";").alias("listed"))
 
 
 @query(CTE + "m AS (SELECT count(*) AS n_genes FROM var) SELECT min(value) AS min_value, max(value) AS max_value, round(avg(value), 6) AS mean_value, round(stddev_pop(value), 6) AS std_value, count(*) AS nnz, round(1 - count(*) / (max(n_cells) * CAST(max(n_genes) AS DOUBLE)), 6) AS sparsity FROM expr, n, m")

@@ -10,17 +10,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.labels import list_label, list_top_n
 from ..model import Dataset
 from ..operators.combine import top_genes
+from .versions import current
 
 
 def read_dataset(spark: SparkSession, path: str) -> Dataset:
-    """SC1: a dataset that ``Dataset.write`` wrote; any store that Spark reads."""
+    """SC1: a dataset that ``Dataset.write`` wrote, or its current version; any store that Spark reads."""
+    path = current(spark, path)
     edges = spark.read.parquet(f"{path}/edges") if exists(spark, f"{path}/edges") else None
     return Dataset(*(spark.read.parquet(f"{path}/{t}") for t in ("expr", "obs", "var")), edges)
 
 
 def var_names(spark: SparkSession, path: str) -> DataFrame:
     """SC2, SC7: gene names alone; one column of one table is read."""
-    return spark.read.parquet(f"{path}/var").select("gene").distinct()
+    return spark.read.parquet(f"{current(spark, path)}/var").select("gene").distinct()
 
 
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -46,7 +48,15 @@ def read_top_genes(spark: SparkSession, names_path: str, scores_path: str) -> Da
     n = spark.range(1).select(list_top_n(F.lit(os.path.basename(names_path))).alias("n")).first()["n"]
     if n is None:
         return read_gene_list(spark, names_path, comments=True)
-    return top_genes(read_table(spark, scores_path, sep="\t"), n).select("gene")
+    scores = read_table(spark, scores_path, sep="\t")
+    # The first column holds the names, whatever its heading.
+    return top_genes(scores.withColumnRenamed(scores.columns[0], "gene"), n).select("gene")
+
+
+def read_compared_list(spark: SparkSession, path: str) -> DataFrame:
+    """SC8: a list as it is compared: the names of a selection are cut to the top N of the scores that lie beside them, any other list is whole."""
+    scores = path.removesuffix("_hvg_names.txt") + "_hvg_scores.tsv"
+    return read_top_genes(spark, path, scores) if path.endswith("_hvg_names.txt") and exists(spark, scores) else read_gene_list(spark, path, comments=True)
 
 
 def label_of(spark: SparkSession, path: str) -> str:

@@ -1,4 +1,4 @@
-"""SK3, SK5, SK8, SK9, SK12: what a run leaves beside its tables."""
+"""SK3, SK5, SK8, SK9: what a run leaves beside its tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .files import write_list, write_tsv
+from .store import put_text
+
 
 log = logging.getLogger("cytospark")
 
@@ -45,35 +47,6 @@ def write_summary(spark: SparkSession, numbers: dict, folder: str, title: str, s
         put_text(spark, f"{folder}/{name}", text + "\n")
 
 
-def put_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small text file in any store that Spark writes."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """SK12: an intermediate result that nothing reads again."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def replace_in_place(spark: SparkSession, write, path: str) -> None:
-    """SK1: ``write`` to a staging path beside ``path``, then swap the two; the old one goes last."""
-    jvm, staged, old = spark.sparkContext._jvm, f"{path}.new", f"{path}.old"
-    write(staged)
-    at = [jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged, old)]
-    fs = at[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not (fs.rename(at[0], at[2]) and fs.rename(at[1], at[0])):
-        raise OSError(f"{path} could not be swapped with {staged}")
-    fs.delete(at[2], True)
-
-
 def log_to(folder: str, level: int = logging.INFO) -> logging.Handler:
     """A run's log file beside its results."""
     Path(folder).mkdir(parents=True, exist_ok=True)
