@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("input"), c.add_argument("output"), c.add_argument("--layer"), c.add_argument("--raw", action="store_true")
     c.add_argument("--genes"), c.add_argument("--top-of-list", type=int), c.add_argument("--top-after-normalising", type=int)
     c.add_argument("--n-genes", type=int), c.add_argument("--k-neighbors", type=int), c.add_argument("--individual-pca", action="store_true")
+    c.add_argument("--exact-neighbors", action="store_true", help="compare all pairs in large donors too")
     c = sub.add_parser("aggregate", help="statistics per donor and cell type")
     c.add_argument("--input-dir", required=True), c.add_argument("--output-dir", required=True), c.add_argument("--clinical-csv", required=True)
     c.add_argument("--individuals-csv"), c.add_argument("--resume", action="store_true")
@@ -80,6 +81,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         out = features(
             read_dataset(spark, a.input), layer=a.layer, use_raw=a.raw, genes=read_gene_list(spark, a.genes) if a.genes else None,
             top_of_list=a.top_of_list, top_after_normalising=a.top_after_normalising, **asdict(settings),
+            **({"approximate_above": None} if a.exact_neighbors else {}),
         )
         out.data.write(f"{a.output}/data")
         out.pca.write.parquet(f"{a.output}/pca")

@@ -22,6 +22,8 @@ MIN_GENES_PER_CELL = 200
 MIN_CELLS_PER_GENE = 5
 TOP_GENES = 2000
 NEIGHBOURS = 30
+#: Cells of a donor above which neighbours are found by descent.
+EXACT_CELLS = 8192
 COMPONENTS = 50
 FEATURE_TARGET = 1e6
 AGGREGATE_TARGET = 1e4

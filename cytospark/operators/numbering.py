@@ -19,10 +19,8 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "number", start
     held = df.repartitionByRange(*order).sortWithinPartitions(*order)
     held = materialise(held.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
     sizes = {r["_range"]: r["count"] for r in held.groupBy("_range").count().collect()}
-    if not sizes:
-        return held.drop("_range").withColumnRenamed("_at", name)
     first, at = [], start
-    for i in range(max(sizes) + 1):
+    for i in range(max(sizes, default=0) + 1):
         first.append(at)
         at += sizes.get(i, 0)
     offset = F.element_at(F.expr(f"array({', '.join(f'{x}L' for x in first)})"), F.col("_range") + 1)

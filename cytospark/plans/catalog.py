@@ -612,6 +612,13 @@ def knn_per_group(spark, d):
     return rounded(_knn(spark, d), "distance")
 
 
+@query()
+def knn_descent(spark, d):
+    """NK8 of large donors; which of the nearest are found isn't SQL."""
+    e = table(spark, d, "embeddings").select(F.lit("all").alias("donor"), F.col("vec_id").alias("cell_id"), F.col("embedding").alias("pc"))
+    return rounded(neighbours(e, K - 1, approximate_above=K), "distance")
+
+
 @query()
 def fuzzy_graph(spark, d):
     """NK9."""
