@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .config import Config
 from .model import Dataset
 from .operators import columns, combine, joins
+from .operators.categories import categorise
 from .operators.report import check, preview
 from .plans import aggregate
 from .plans.feature import features
@@ -27,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="cytospark")
     p.add_argument("--config")
     sub = p.add_subparsers(dest="command", required=True)
-    c = sub.add_parser("categories", help="columns as strings, counts as integers")
+    c = sub.add_parser("categories", help="columns as categories, counts as integers")
     c.add_argument("input"), c.add_argument("output"), c.add_argument("--columns", nargs="*", default=[])
     c.add_argument("--keep-raw", action="store_true"), c.add_argument("--no-cast-int", action="store_true")
     c = sub.add_parser("metadata", help="join a clinical table")
@@ -65,7 +66,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         data = read_dataset(spark, a.input)
         data = data if a.keep_raw else columns.drop_raw(data)
         expr = data.expr if a.no_cast_int else columns.cast_counts(data.expr)
-        data.with_(expr=expr, obs=columns.as_category(data.obs, a.columns)).write(a.output)
+        categorise(data.with_(expr=expr), a.columns).write(a.output)
     elif a.command == "metadata":
         data = read_dataset(spark, a.input)
         obs = joins.add_metadata(data.obs, read_table(spark, a.key_table)) if a.key_table else data.obs

@@ -1,9 +1,10 @@
-"""The matrix as tables: ``expr`` (one row per non-zero), ``obs`` (cells), ``var`` (genes) and perhaps ``edges``.
+"""The matrix as tables: ``expr`` (one row per non-zero), ``obs`` (cells), ``var`` (genes) and perhaps ``edges`` and ``levels``.
 
 expr: layer string, cell_id string, gene string, value double (value <> 0)
 obs:  cell_id string, cell_ord bigint, any further columns
 var:  gene string, gene_ord bigint, any further columns
 edges: src string, dst string, any further columns: a graph whose ends are cells of ``obs``
+levels: column string, code bigint, level string, ordered boolean: categories of ``obs`` and their order
 
 Zeros are implicit, so a mean over cells divides by a count from ``obs``, never by the
 number of rows in ``expr``.
@@ -37,6 +38,7 @@ class Dataset:
     obs: DataFrame
     var: DataFrame
     edges: DataFrame | None = None
+    levels: DataFrame | None = None
 
     def with_(self, **changes: DataFrame) -> Dataset:
         return replace(self, **changes)
@@ -49,5 +51,6 @@ class Dataset:
         self.expr.write.mode(mode).partitionBy("layer").parquet(f"{path}/expr")
         self.obs.write.mode(mode).parquet(f"{path}/obs")
         self.var.write.mode(mode).parquet(f"{path}/var")
-        if self.edges is not None:
-            self.edges.write.mode(mode).parquet(f"{path}/edges")
+        for name, df in (("edges", self.edges), ("levels", self.levels)):
+            if df is not None:
+                df.write.mode(mode).parquet(f"{path}/{name}")

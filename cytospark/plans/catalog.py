@@ -23,6 +23,7 @@ from ..operators import joins as jo
 from ..operators import report as rp
 from ..operators.cells import take_cells, without_prefix
 from ..operators.components import components
+from ..operators.categories import categorise, set_order, with_codes
 from ..operators.embedding import fuzzy_edges, neighbours
 from ..operators.selection import by_dispersion, by_standardised_variance
 from ..scratch import materialise
@@ -304,6 +305,23 @@ def cast_category(spark, d):
     return co.as_category(table(spark, d, "customer").select("c_custkey", "c_nationkey"), ["c_nationkey", "absent"])
 
 
+@query("""WITH d AS (SELECT 'donor' AS "column", c_nationkey AS k, CAST(c_nationkey AS VARCHAR) AS level, count(*) AS cells FROM customer WHERE c_nationkey IS NOT NULL GROUP BY 2),
+s AS (SELECT 'subtype' AS "column", c_mktsegment AS level, count(*) AS cells FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 2)
+SELECT "column", row_number() OVER (ORDER BY k < 10, k) - 1 AS code, level, false AS ordered, cells FROM d
+UNION ALL SELECT "column", row_number() OVER (ORDER BY level DESC) - 1, level, true, cells FROM s""")
+def category_codes(spark, d):
+    """PR7, SK2, SE1: codes and order of the categories of two concatenated parts, and the cells that have them."""
+    x = dataset(spark, d)
+    x = set_order(categorise(x, ["subtype", "absent"]), "subtype", sorted(SEGMENTS, reverse=True))
+    high = F.coalesce(F.col("donor") >= 10, F.lit(False))
+    parts = {"high": high, "low": ~high}
+    both = cb.concat({name: categorise(x.with_(obs=x.obs.filter(rule)), ["donor"]) for name, rule in parts.items()})
+    codes = with_codes(both, ["donor", "subtype"])
+    pairs = codes.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"{c}_code").alias("code")) for c in ("donor", "subtype")))))
+    cells = pairs.groupBy("column", "code").agg(F.count(F.lit(1)).alias("cells"))
+    return both.levels.join(cells, ["column", "code"]).select("column", "code", "level", "ordered", "cells")
+
+
 @query(CTE_ONLY + "SELECT cell_id, gene, CAST(value AS INTEGER) AS value FROM expr")
 def cast_counts(spark, d):
     """PR8."""

@@ -16,8 +16,8 @@ from .versions import current
 def read_dataset(spark: SparkSession, path: str) -> Dataset:
     """SC1: a dataset that ``Dataset.write`` wrote, or its current version; any store that Spark reads."""
     path = current(spark, path)
-    edges = spark.read.parquet(f"{path}/edges") if exists(spark, f"{path}/edges") else None
-    return Dataset(*(spark.read.parquet(f"{path}/{t}") for t in ("expr", "obs", "var")), edges)
+    further = (spark.read.parquet(f"{path}/{t}") if exists(spark, f"{path}/{t}") else None for t in ("edges", "levels"))
+    return Dataset(*(spark.read.parquet(f"{path}/{t}") for t in ("expr", "obs", "var")), *further)
 
 
 def var_names(spark: SparkSession, path: str) -> DataFrame:

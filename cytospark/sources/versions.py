@@ -59,7 +59,7 @@ def commit(spark: SparkSession, write: Callable[[str], None], path: str) -> str:
     write(f"{path}/{name}")
     _point(spark, path, name)
     _, where, fs = _store(spark, path)
-    keep = {name, before.rsplit("/", 1)[-1], POINTER} | (set() if before != path else {"expr", "obs", "var", "edges"})
+    keep = {name, before.rsplit("/", 1)[-1], POINTER} | (set() if before != path else {"expr", "obs", "var", "edges", "levels"})
     for entry in fs.listStatus(where):
         if (left := entry.getPath().getName()) not in keep and not left.startswith("."):
             remove(spark, f"{path}/{left}")
