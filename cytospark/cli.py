@@ -7,7 +7,7 @@ import json
 import logging
 import sys
 from dataclasses import asdict, replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,10 +18,11 @@ from .operators.categories import categorise
 from .operators.report import check, preview
 from .plans import aggregate
 from .plans.feature import features
+from .sources.clustered import read_layout, write_clustered
 from .sources.files import check_path, label_of, read_compared_list, read_dataset, read_gene_list, read_table, var_names, write_list
 from .sources.runs import write_scores
 from .sources.store import put_text
-from .sources.versions import commit
+from .sources.versions import commit, current
 
 
 def parser() -> argparse.ArgumentParser:
@@ -51,6 +52,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--individuals-csv"), c.add_argument("--resume", action="store_true")
     c.add_argument("--keep-intermediate", action="store_true"), c.add_argument("--single-file", action="store_true")
     c.add_argument("--major", nargs="+", required=True, metavar="NAME=CLASS")
+    c = sub.add_parser("store", help="store by cell, so that work by cell needs no shuffle")
+    c.add_argument("input"), c.add_argument("output", nargs="?", help="without it, in place"), c.add_argument("--buckets", type=int)
     c = sub.add_parser("validate", help="show structure and profile; ends with 1 where something is wrong")
     c.add_argument("input"), c.add_argument("--no-columns", action="store_true"), c.add_argument("--no-matrix", action="store_true"), c.add_argument("--preview", type=int, default=0)
     c = sub.add_parser("genes", help="names of a dataset's genes, one a line")
@@ -92,6 +95,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         out.close()
     elif a.command == "aggregate":
         aggregate.run(spark, a.input_dir, a.output_dir, a.clinical_csv, dict(x.split("=", 1) for x in a.major), a.individuals_csv, a.resume, a.keep_intermediate or not a.single_file, a.single_file)
+    elif a.command == "store":
+        store = partial(write_clustered, read_dataset(spark, a.input), buckets=a.buckets)
+        store(a.output) if a.output else commit(spark, store, a.input)
     elif a.command == "genes":
         write_list(var_names(spark, a.input), a.output)
     elif a.command == "overlap":
@@ -111,11 +117,12 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def write(spark: SparkSession, data: Dataset, a: argparse.Namespace) -> None:
-    """To the output, or as a new version of the input."""
+    """To the output, or as a new version of the input, by cell if that is so stored."""
     if a.output:
         data.write(a.output)
     else:
-        commit(spark, data.write, a.input)
+        layout = read_layout(spark, current(spark, a.input))
+        commit(spark, partial(write_clustered, data, buckets=layout["buckets"]) if layout else data.write, a.input)
 
 
 def main(argv: list[str] | None = None) -> int:

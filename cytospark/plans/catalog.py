@@ -26,7 +26,9 @@ from ..operators.components import components
 from ..operators.categories import categorise, set_order, with_codes
 from ..operators.embedding import fuzzy_edges, neighbours
 from ..operators.selection import by_dispersion, by_standardised_variance
-from ..scratch import materialise
+from ..scratch import materialise, scratch_path
+from ..sources.clustered import GENE_STATS, stored_moments, write_clustered
+from ..sources.files import read_dataset
 from .aggregate import as_written, class_stats
 from .feature import features
 
@@ -179,6 +181,29 @@ def gene_moments(spark, d):
     return rounded(ag.gene_moments(x.expr, x.obs.count()), "mean", "variance")
 
 
+def stored_by_cell(spark: SparkSession, d: str) -> str:
+    """A dataset of the tables, stored by cell in the shared folder."""
+    path = scratch_path(spark, "by_cell")
+    write_clustered(dataset(spark, d), path)
+    return path
+
+
+@query(CTE + "spread AS (SELECT donor, subtype, cell_id, CAST(c AS BIGINT) AS n_genes, round(m, 6) AS mean_norm FROM obs JOIN (SELECT cell_id, count(*) AS c, avg(norm) AS m FROM lognorm GROUP BY 1) USING (cell_id)) SELECT * FROM spread")
+def stored_normalised(spark, d):
+    """SK1, NK1, NK2: cells of a dataset stored by cell, normalised, summed up and joined without an exchange of values."""
+    x = read_dataset(spark, stored_by_cell(spark, d))
+    by_cell = lognorm(x).groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_genes"), r6(F.avg("norm")).alias("mean_norm"))
+    return x.obs.select("donor", "subtype", "cell_id").join(by_cell, "cell_id").select("donor", "subtype", "cell_id", "n_genes", "mean_norm")
+
+
+@query(ORACLE_SQL["gene_moments"])
+def stored_gene_moments(spark, d):
+    """SK1, AG19: from the statistics that lie beside a dataset stored by cell."""
+    path = stored_by_cell(spark, d)
+    n_cells = read_dataset(spark, path).obs.count()
+    return rounded(stored_moments(spark.read.parquet(f"{path}/{GENE_STATS}"), n_cells, MAIN), "mean", "variance")
+
+
 # --- filters ----------------------------------------------------------------------
 
 KEPT_CELLS = f"kept AS (SELECT cell_id, count(*) FILTER (value > 0) AS n_genes FROM expr GROUP BY 1 HAVING count(*) FILTER (value > 0) >= {LEAST})"

@@ -10,12 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.labels import list_label, list_top_n
 from ..model import Dataset
 from ..operators.combine import top_genes
+from .clustered import read_clustered, read_layout
+from .store import exists
 from .versions import current
 
 
 def read_dataset(spark: SparkSession, path: str) -> Dataset:
-    """SC1: a dataset that ``Dataset.write`` wrote, or its current version; any store that Spark reads."""
+    """SC1: a dataset that ``Dataset.write`` or ``write_clustered`` wrote, or its current version; any store that Spark reads."""
     path = current(spark, path)
+    if layout := read_layout(spark, path):
+        return read_clustered(spark, path, layout)
     further = (spark.read.parquet(f"{path}/{t}") if exists(spark, f"{path}/{t}") else None for t in ("edges", "levels"))
     return Dataset(*(spark.read.parquet(f"{path}/{t}") for t in ("expr", "obs", "var")), *further)
 
@@ -64,12 +68,6 @@ def label_of(spark: SparkSession, path: str) -> str:
     return spark.range(1).select(list_label(F.lit(path)).alias("x")).first()["x"]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, in any store that Spark reads."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def check_path(spark: SparkSession, path: str, extensions: Sequence[str] = ()) -> None:
     """SC13: a path that exists with one of the extensions."""
     if not exists(spark, path):

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
-from .store import put_text, remove
+from .store import exists, get_text, put_text, remove
 
 POINTER, PREFIX = "_current", "v-"
 
@@ -26,14 +26,9 @@ def _store(spark: SparkSession, path: str):
 
 def current(spark: SparkSession, path: str) -> str:
     """Folder that holds the tables of the dataset at ``path``: that of the version that counts, or ``path`` itself where there are no versions."""
-    jvm, where, fs = _store(spark, f"{path}/{POINTER}")
-    if not fs.exists(where):
+    if not exists(spark, f"{path}/{POINTER}"):
         return path
-    stream = fs.open(where)
-    try:
-        return f"{path}/{jvm.org.apache.commons.io.IOUtils.toString(stream, 'UTF-8').strip()}"
-    finally:
-        stream.close()
+    return f"{path}/{get_text(spark, f'{path}/{POINTER}').strip()}"
 
 
 def _point(spark: SparkSession, path: str, name: str) -> None:
@@ -59,7 +54,7 @@ def commit(spark: SparkSession, write: Callable[[str], None], path: str) -> str:
     write(f"{path}/{name}")
     _point(spark, path, name)
     _, where, fs = _store(spark, path)
-    keep = {name, before.rsplit("/", 1)[-1], POINTER} | (set() if before != path else {"expr", "obs", "var", "edges", "levels"})
+    keep = {name, before.rsplit("/", 1)[-1], POINTER} | (set() if before != path else {"expr", "obs", "var", "edges", "levels", "gene_stats", "_layout.json"})
     for entry in fs.listStatus(where):
         if (left := entry.getPath().getName()) not in keep and not left.startswith("."):
             remove(spark, f"{path}/{left}")
