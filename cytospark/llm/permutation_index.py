@@ -34,24 +34,29 @@ PIVOTS, LEAST_PIVOTS, MOST_PIVOTS = 4, 64, 16384
 ORDER, POSTED = 32, 4
 #: Queries that set the search up, share of their neighbours to find by files and of those by footrule, least number of files.
 TRIALS, TARGET, LEAST_PROBED = 64, (0.97, 0.98), 64
-#: Posted rows of a block (at least SPREAD blocks where there are rows for them), queries that it meets in one task.
-BLOCK_ROWS, LEAST_ROWS, SPREAD, QUERY_ROWS = 32768, 1024, 24, 65536
-
-
-def _usable(ids, column) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Ids and vectors (double) without nulls, non-finite components or zero norm."""
-    keep, rows = [], []
-    for x, v in zip(ids.to_pylist(), column):
-        if x is None or not v.is_valid:
-            continue
-        v = v.values
-        if len(v) == 0 or v.null_count:
-            continue
-        v = np.asarray(v, np.float64)
-        if np.isfinite(v).all() and v.any():
-            keep.append(x)
-            rows.append(v)
-    return np.array(keep, np.int64), rows
+#: Bytes, as they are compared, of a block's posted rows and of the queries that it meets in one task.
+BLOCK_BYTES, QUERY_BYTES = 96 << 20, 48 << 20
+#: At least SPREAD blocks where there are LEAST_ROWS rows for each.
+LEAST_ROWS, SPREAD = 1024, 24
+#: Rows whose components are flattened at a time.
+CLEANED_ROWS = 1024
+
+
+def _usable(ids: pa.Array, column: pa.Array, kind: str) -> pa.RecordBatch:
+    """(id, dim, norm, vec) of the rows without nulls, non-finite components or zero norm, from the flattened components."""
+    keep = pc.and_(ids.is_valid(), column.is_valid())
+    ids, column = ids.filter(keep), column.filter(keep)
+    flat, size = column.flatten(), np.asarray(pc.list_value_length(column), np.int64)
+    x = np.asarray(pc.fill_null(flat.cast(pa.float64()), 0.0), np.float64)
+    bad = np.asarray(pc.fill_null(flat.is_null(), False), bool) | ~np.isfinite(x)
+    row = np.repeat(np.arange(len(size)), size)
+    with np.errstate(over="ignore", invalid="ignore"):
+        squares = np.bincount(row, x * x, len(size))
+    good = (np.bincount(row, bad, len(size)) == 0) & (np.bincount(row, x != 0, len(size)) > 0)
+    x, size = x[good[row]].astype(kind), size[good]
+    ends = np.concatenate([[0], np.cumsum(size * x.itemsize)])
+    packed = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype("<i4").tobytes()), pa.py_buffer(x.tobytes())])
+    return pa.RecordBatch.from_pydict({"id": ids.filter(pa.array(good)).cast(pa.int64()), "dim": pa.array(size, pa.int32()), "norm": pa.array(np.sqrt(squares[good])), "vec": packed})
 
 
 def _clean(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, str]:
@@ -60,11 +65,9 @@ def _clean(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = _usable(batch.column(0), batch.column(1))
-            yield pa.RecordBatch.from_pydict({
-                "id": pa.array(ids), "dim": pa.array([len(v) for v in rows], pa.int32()),
-                "norm": pa.array([float(np.sqrt((v * v).sum())) for v in rows], pa.float64()), "vec": pa.array([v.astype(kind).tobytes() for v in rows], pa.binary()),
-            })
+            for i in range(0, batch.num_rows, CLEANED_ROWS):
+                part = batch.slice(i, CLEANED_ROWS)
+                yield _usable(part.column(0), part.column(1), kind)
 
     return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).mapInArrow(run, "id long, dim int, norm double, vec binary"), kind
 
@@ -174,8 +177,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     if len(need):
         probed = int(min(wide, max(LEAST_PROBED, np.quantile(need, TARGET[0], method="higher"))))
         least = int(np.quantile(close[need <= probed], 1 - TARGET[1], method="lower"))
-    length = max(probed, order)
-
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = orders(_matrix(batch.column("vec"), kind, dim), query=False)
@@ -186,19 +187,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
                 "near": pa.array([x.tobytes() for x in own], pa.binary()).take(at),
             })
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = orders(_matrix(batch.column("vec"), asked_kind, dim), query=True, most=length)
-            yield pa.RecordBatch.from_pydict({
-                "query_id": batch.column("id"), "vec": batch.column("vec"), "near": pa.array([x.tobytes() for x in own], pa.binary()),
-                "files": pa.array(own[:, :probed].astype(np.int32).tolist(), pa.list_(pa.int32())),
-            })
-
     files = materialise(base.select("id", "vec").mapInArrow(post, "file int, id long, vec binary, near binary"), "files")
     sizes = {r["file"]: r["count"] for r in files.groupBy("file").count().collect()}  # at most one row a pivot
     # Small neighbouring files share a block; a large one is cut into several.
     rows, block, filled = [], 0, 0
-    most = min(BLOCK_ROWS, max(LEAST_ROWS, sum(sizes.values()) // SPREAD))
+    most = min(max(1, BLOCK_BYTES // (8 * dim + 2 * order)), max(LEAST_ROWS, sum(sizes.values()) // SPREAD))
     for f in sorted(sizes):
         parts = -(-sizes[f] // most)
         if parts > 1 or filled + sizes[f] > most:
@@ -206,14 +199,31 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
         rows.append((f, block, parts))
         block, filled = (block + parts, 0) if parts > 1 else (block, filled + sizes[f])
     where = F.broadcast(spark.createDataFrame(rows, "file int, block int, parts int"))  # at most one row a pivot
-    sent = materialise(distinct.select("id", "vec").mapInArrow(ask, "query_id long, vec binary, near binary, files array<int>"), "asked")
-    routes = sent.select("query_id", F.explode("files").alias("file")).join(where, "file")
-    routes = routes.select("query_id", F.explode(F.sequence("block", F.col("block") + F.col("parts") - 1)).alias("block")).distinct()
+    block_of, parts_of = (np.array([r[c] for r in rows], np.int64) for c in (1, 2))
+    held_files = np.array([r[0] for r in rows], np.int64)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query with the start of its order, the set of its files a bit each, and the blocks that hold any."""
+        for batch in batches:
+            own = orders(_matrix(batch.column("vec"), asked_kind, dim), query=True, most=max(probed, order))
+            probes = np.zeros((len(own), wide), bool)
+            np.put_along_axis(probes, own[:, :probed].astype(np.int64), True, axis=1)
+            blocks = []
+            for mine in probes[:, held_files]:
+                first, parts = block_of[mine], parts_of[mine]
+                blocks.append(np.unique(np.repeat(first, parts) + np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)).tolist())
+            yield pa.RecordBatch.from_pydict({
+                "query_id": batch.column("id"), "vec": batch.column("vec"), "near": pa.array([x.tobytes() for x in np.ascontiguousarray(own[:, :order])], pa.binary()),
+                "probes": pa.array([x.tobytes() for x in np.packbits(probes, axis=1)], pa.binary()), "blocks": pa.array(blocks, pa.list_(pa.int32())),
+            })
+
+    sent = materialise(distinct.select("id", "vec").mapInArrow(ask, "query_id long, vec binary, near binary, probes binary, blocks array<int>"), "asked")
     # Queries that are too many for one task go to copies of the block.
-    chunks = routes.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_ROWS)).cast("int").alias("chunks"))
+    fit = max(1, QUERY_BYTES // (8 * dim + 2 * order + wide // 8))
+    chunks = sent.select(F.explode("blocks").alias("block")).groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(fit)).cast("int").alias("chunks"))
     stored = files.join(where, "file").withColumn("block", F.col("block") + F.pmod(F.xxhash64("id"), "parts").cast("int")).join(chunks, "block")
     stored = stored.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("block", "chunk", "file", "id", "vec", "near")
-    sent = sent.drop("files").join(routes.join(chunks, "block"), "query_id").withColumn("chunk", F.pmod(F.xxhash64("query_id"), "chunks").cast("int"))
+    sent = sent.withColumn("block", F.explode("blocks")).drop("blocks").join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("query_id"), "chunks").cast("int")).drop("chunks")
 
     def search(rows: pa.Table, wanted: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
@@ -223,16 +233,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
             near = np.frombuffer(b"".join(rows["near"].to_pylist()), np.uint16).reshape(-1, order)
             held, begin = np.unique(file, return_index=True)
             end = np.r_[begin[1:], len(file)]
-            asked_near = np.frombuffer(b"".join(wanted["near"].to_pylist()), np.uint16).reshape(-1, length)
-            for q, v, own in zip(wanted["query_id"].to_numpy(), _matrix(wanted["vec"], asked_kind, dim), asked_near):
-                place = np.full(wide, wide, np.int32)
-                place[own[:probed]] = np.arange(probed)
-                mine = np.flatnonzero(place[held] < wide)
+            asked_near = np.frombuffer(b"".join(wanted["near"].to_pylist()), np.uint16).reshape(-1, order)
+            asked_files = np.frombuffer(b"".join(wanted["probes"].to_pylist()), np.uint8).reshape(len(asked_near), -1)
+            # Which of its own files each row was posted in here.
+            turn = (near[:, :posted] == file[:, None]).argmax(axis=1)
+            for q, v, own, bits in zip(wanted["query_id"].to_numpy(), _matrix(wanted["vec"], asked_kind, dim), asked_near, asked_files):
+                probes = np.unpackbits(bits, count=wide).view(bool)
+                mine = np.flatnonzero(probes[held])
                 if not len(mine):
                     continue
                 at = np.concatenate([np.arange(begin[f], end[f]) for f in mine])
-                # A vector counts in that of its files which the query probes first.
-                at = at[place[near[at, :posted]].min(axis=1) == place[file[at]]]
+                # A vector counts in the nearest to it of those of its files which the query probes.
+                at = at[probes[near[at, :posted]].argmax(axis=1) == turn[at]]
                 close = _closeness(order, wide, own, near[at])
                 good = close >= least
                 if good.sum() <= k:

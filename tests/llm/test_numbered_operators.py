@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from cytospark.llm.blocks import ordered_blocks
 from cytospark.llm.decontaminate import contaminated
 from cytospark.llm.language_crf import identify
 from cytospark.llm.lm_scoring import score
-from cytospark.llm import decontaminate, lm_scoring, near_dedup, substring_dedup
+from cytospark.llm import decontaminate, lm_scoring, near_dedup, permutation_index, substring_dedup
 from cytospark.llm.near_dedup import near_duplicates
 from cytospark.llm.packing import Limits, pack, pack_documents
 from cytospark.llm.permutation_index import nearest
@@ -205,6 +206,38 @@ def test_nearest_with_ties_and_repeats(spark):
     assert nearest(v.limit(0), v, k=5).count() == 0 and nearest(v, v.limit(0), k=5).count() == 0
 
 
+def test_nearest_by_small_blocks(spark, monkeypatch):
+    """Many blocks, cut files and copies of blocks find no less than a few blocks; each block has its own least number of candidates."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(1500, 6)).round(1))] + [(1500 + i, [1.0, 2.0, 0.5, 0.5, 0.5, 3.0]) for i in range(400)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = lambda: {(r["query_id"], r["rank"]): r["score"] for r in nearest(v, v.filter("vec_id % 20 = 0"), k=9).collect()}
+    no_worse = lambda a, b: a.keys() == b.keys() and all(a[x] >= b[x] - 1e-9 for x in b)
+    few = found()
+    monkeypatch.setattr(permutation_index, "LEAST_ROWS", 10)
+    monkeypatch.setattr(permutation_index, "SPREAD", 60)
+    many = found()
+    assert no_worse(many, few)
+    monkeypatch.setattr(permutation_index, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(permutation_index, "QUERY_BYTES", 600)
+    assert no_worse(found(), few) and len(few) == 95 * 9
+    x = np.array([e for _, e in rows], np.float32).astype(np.float64)
+    true = x[::20] @ x.T
+    true[np.arange(95), np.arange(0, 1900, 20)] = -np.inf
+    true = -np.sort(-true, axis=1)[:, :9]
+    assert np.mean([abs(many[q * 20, r + 1] - true[q, r]) < 1e-9 for q in range(95) for r in range(9)]) >= 0.9
+
+
+def test_usable_vectors():
+    values = [[1.0, 2.0], None, [], [0.0, 0.0], [3.0], [float("nan"), 1.0], [None, 2.0], [4.0, -1.0, 2.0], [float("-inf")], [5.0]]
+    for kind, t in (("<f4", pa.float32()), ("<f8", pa.float64())):
+        column = pa.array([[9.0], *values], pa.list_(t)).slice(1)
+        got = permutation_index._usable(pa.array([0, 1, 2, 3, 4, 5, 6, 7, 8, None], pa.int64()), column, kind).to_pylist()
+        assert [(r["id"], r["dim"], np.frombuffer(r["vec"], kind).tolist()) for r in got] == [(0, 2, [1.0, 2.0]), (4, 1, [3.0]), (7, 3, [4.0, -1.0, 2.0])]
+        assert np.allclose([r["norm"] for r in got], [5**0.5, 3, 21**0.5])
+    assert permutation_index._usable(pa.array([], pa.int64()), pa.array([], pa.list_(pa.float32())), "<f4").num_rows == 0
+
+
 def ids_of(name, text, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
     t.encode_special_tokens = True
