@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import bucket_slices, corpus_size, pack_sorted, pieces, unpack_sorted
-from ..scratch import materialise
+from ..scratch import discard, materialise
 from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, word_spans
 
 BLOCK_BYTES = 8 << 20
@@ -127,6 +127,37 @@ def _bucket(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.ceil(np.log2(context + 1.0)).astype(np.int64), BUCKETS - 1)
 
 
+def _counted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sum of each one's weights."""
+    if not len(keys) or weights.max() == 1:
+        keys, counts = np.unique(keys, return_counts=True)
+        return keys, counts.astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys, weights = keys[order], weights[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(weights, first)
+
+
+def _once(docs: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``copies`` and ``twin``: rows whose equal copies hold more than ``most`` bytes stand there once.
+
+    ``twin`` tells such rows with one id apart (by a digest of the text and the part) and is null for all others. The
+    second table has (doc_id, twin) of every copy; it is None where no row is that common.
+    """
+    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+    sizes = docs.groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text") + F.lit(1)).alias("bytes"))
+    # A written table has a size that Spark knows, so joining it shuffles no texts unless it is large.
+    common = materialise(sizes.filter((F.col("n") > 1) & (F.col("bytes") > most)).select("row"), "common")
+    alone = lambda df: df.select("doc_id", "text", "part", F.lit(1).cast("long").alias("copies"), F.lit(None).cast("string").alias("twin"))
+    if common.isEmpty():
+        discard(common)
+        return alone(docs), None
+    copies = docs.join(common, "row", "left_semi").select("doc_id", "text", "part")
+    twin = F.concat(F.sha2("text", 256), F.col("part").cast("string")).alias("twin")
+    once = copies.groupBy("doc_id", "text", "part").agg(F.count(F.lit(1)).alias("copies")).select("*", twin)
+    return alone(docs.join(common, "row", "left_anti")).unionByName(once), copies.select("doc_id", twin)
+
+
 def _part_of(fold, scored_fold: int, deleted_fold: int):
     return F.when(fold == scored_fold, SCORED).when(fold == deleted_fold, DELETED).otherwise(RETAINED)
 
@@ -147,20 +178,24 @@ def score(docs: DataFrame, fold, folds: int = 7, scored_fold: int = 2, deleted_f
     base_score (add-one unigrams) and score. Null and empty texts have the end token alone. A
     null id counts as fold 0. Rows that share an id are separate documents. Other columns are
     ignored. An empty table gives an empty result. Counts are of all documents, without cut-offs.
+    Equal rows (id and text) that would overfill a block are counted and scored once, with their number.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(fold, F.lit(0)).alias("fold"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(fold, F.lit(0)).alias("fold"))
     n_rows, n_bytes = corpus_size(docs, "text")
     n_blocks = pieces(n_bytes + n_rows, block_bytes, spread=64)
     bits = min(64, max(32, SPARE_BITS + (n_bytes // 4 + n_rows + 1).bit_length()))
     # Blocks hold documents of one part only, so that learning weights reads the deleted part alone.
     docs = docs.select("doc_id", "text", _part_of(F.col("fold"), scored_fold, deleted_fold).alias("part"))
+    docs, every_copy = _once(docs, (n_bytes + n_rows) // n_blocks)
     docs = docs.withColumn("block", (F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)) * 3 + F.col("part")).cast("int")).drop("part")
     shift = [U64(0), U64(64 - bits), U64(64 - bits)]
 
     def send(table: pa.Table) -> pa.Table:
         block, out = table["block"][0].as_py(), {"bucket": [], "part": [], "keys": [], "counts": []}
-        for part, grams in enumerate(_tokens(table["text"], bits)[0]):
-            keys, counts = np.unique(grams, return_counts=True)
+        orders, doc = _tokens(table["text"], bits)
+        weights = table["copies"].to_numpy()[doc]
+        for part, grams in enumerate(orders):
+            keys, counts = _counted(grams, weights)
             for b, s in bucket_slices(keys, n_blocks):
                 out["bucket"].append(b)
                 out["part"].append(part)
@@ -229,8 +264,8 @@ def score(docs: DataFrame, fold, folds: int = 7, scored_fold: int = 2, deleted_f
     def held(table: pa.Table, got: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"cell": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        _, _, p3, p2, p1, p0, bucket = estimates(table, got, "kept", n_kept, v_kept)
-        cells, n = np.unique(held_out_cells(p3, p2, p1, p0, bucket), return_counts=True)
+        doc, _, p3, p2, p1, p0, bucket = estimates(table, got, "kept", n_kept, v_kept)
+        cells, n = _counted(held_out_cells(p3, p2, p1, p0, bucket), table["copies"].to_numpy()[doc])
         return pa.table({"cell": pa.array(cells), "n": pa.array(n, pa.int64())})
 
     deleted = F.col("block") % 3 == DELETED
@@ -252,8 +287,16 @@ def score(docs: DataFrame, fold, folds: int = 7, scored_fold: int = 2, deleted_f
             model = np.bincount(doc, np.log10(p), n)
         return pa.table({
             "doc_id": table["doc_id"], "held_out": pa.array([block % 3 == SCORED] * n, pa.bool_()), "n_tokens": pa.array(tokens.astype(np.int64)), "n_known": pa.array(known.astype(np.int64)),
-            "train_tokens": pa.array([n_all] * n, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(model, pa.float64()),
+            "train_tokens": pa.array([n_all] * n, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(model, pa.float64()), "twin": table["twin"],
         })
 
     both = docs.groupBy("block").cogroup(answers.select("block", "bucket", "part", "every").groupBy("block"))
-    return both.applyInArrow(final, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scores = both.applyInArrow(final, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, twin string")
+    if every_copy is None:
+        return scores.drop("twin")
+    scores = materialise(scores, "scores")
+    names = [c for c in scores.columns if c != "twin"]
+    shared = materialise(scores.filter("twin is not null"), "shared").alias("s")
+    same = [F.col("c.doc_id").eqNullSafe(F.col("s.doc_id")), F.col("c.twin") == F.col("s.twin")]
+    copies = every_copy.alias("c").join(shared, same).select(*(F.col(f"s.{c}") for c in names))
+    return scores.filter("twin is null").select(*names).unionByName(copies)

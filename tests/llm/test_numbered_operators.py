@@ -439,6 +439,22 @@ def test_lm_scores(spark):
     assert {r["score"] < 0 for r in score(d.limit(1), F.lit(2)).collect()} == {True}
 
 
+def test_lm_scores_of_very_common_rows(spark):
+    """Half of all rows are copies of three rows, in parts of their own: the same scores, a row each."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.randint(1, 20))), i % 7) for i in range(140)]
+    rows += [(7, "w1 w2 W3 w4 " * 5, 0)] * 120 + [(7, "w1 w2 W3 w4 " * 5, 3)] * 90 + [(7, "w1 w2 W3 w4 " * 5, 2)] * 80 + [(None, "w9", 1)] * 60 + [(8, None, 3)] * 30
+    rng.shuffle(rows)
+    tokens, (c, n, v), model, _ = brute_language_model([r[:2] for r in rows], [f for *_, f in rows])
+    want = sorted((i or -1, f == 2, len(ws), sum((w,) in c for w in ws), n, round(sum(math.log10((c.get((w,), 0) + 1) / (n + v + 1)) for w in ws), 6), round(m, 6)) for (i, _, f), ws, m in zip(rows, tokens, model))
+    d = spark.createDataFrame(rows, "doc_id long, text string, fold int").repartition(3)
+    plain = d.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lm_scoring._part_of(F.col("fold"), 2, 3).alias("part"))
+    once, copies = lm_scoring._once(plain, 400)
+    assert copies.count() == 290 and once.filter("twin is not null").agg(F.count("*"), F.sum("copies")).first()[:] == (3, 290) and once.filter("twin is null").count() == 230
+    got = score(d, F.col("fold"), block_bytes=400).collect()
+    assert sorted((r["doc_id"] or -1, r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got) == want
+
+
 def test_lm_weights_and_counts():
     """No other weights make the held-out tokens likelier; counts of any size are kept."""
     rng = np.random.default_rng(3)
