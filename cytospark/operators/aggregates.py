@@ -27,12 +27,27 @@ def normalise(expr: DataFrame, target: float, log: bool = True) -> DataFrame:
     return expr.withColumn("norm", F.log1p(norm) if log else norm)
 
 
+def on_every_gene(sums: DataFrame, sizes: DataFrame, genes: DataFrame, keys: Sequence[str], gene: str = "gene") -> DataFrame:
+    """(keys, ``gene``, s, c, n_cells): for every group of ``sizes`` and every gene its ``s`` and ``c`` in ``sums``, or zeros.
+
+    The rows of a group and gene arise where the gene is: sums meet in one row a gene, and the groups' zeros, an
+    array as long as there are groups, are added there. So neither the dense rows nor all
+    genes ever travel, and the result is dealt by gene for whatever groups it next.
+    """
+    row = lambda n, s, c: F.struct(*keys, n.cast("long").alias("n_cells"), s.cast("double").alias("s"), c.cast("long").alias("c"))
+    zeros = sizes.agg(F.collect_list(row(F.col("n_cells"), F.lit(0.0), F.lit(0))).alias("zeros"))
+    lists = sums.groupBy(F.col(gene).alias("of")).agg(F.collect_list(row(F.lit(None), F.col("s"), F.col("c"))).alias("found"))
+    every = genes.select(F.col("gene").alias(gene)).filter(F.col(gene).isNotNull()).distinct()
+    both = every.join(lists, F.col(gene) == F.col("of"), "left").join(F.broadcast(zeros))
+    rows = both.select(gene, F.inline(F.when(F.col("found").isNull(), F.col("zeros")).otherwise(F.concat("found", "zeros"))))
+    return rows.groupBy(*keys, gene).agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.max("n_cells").alias("n_cells"))
+
+
 def group_stats(lognorm: DataFrame, obs: DataFrame, genes: DataFrame, keys: Sequence[str], dense: bool = True) -> DataFrame:
     """AG2, AG3: mean of ``norm`` and share of cells above 0 per group and gene.
 
     Cells are counted in ``obs``, so zeros and all-zero cells count. ``dense`` emits every
-    gene for every group: each of the group rows explodes an array of genes only as large
-    as a genome, on the executors.
+    gene for every group.
     """
     keys = list(keys)
     sizes = obs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_cells"))
@@ -41,22 +56,13 @@ def group_stats(lognorm: DataFrame, obs: DataFrame, genes: DataFrame, keys: Sequ
         .groupBy(*keys, "gene")
         .agg(F.sum("norm").alias("s"), F.count_if(F.col("value") > 0).alias("c"))
     )
-    match = [F.col(f"g.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     if dense:
-        all_genes = genes.agg(F.collect_set("gene").alias("genes"))
-        grid = sizes.join(all_genes).select(*keys, "n_cells", F.explode("genes").alias("gene")).alias("g")
-        out = grid.join(sums.alias("s"), [*match, F.col("g.gene") == F.col("s.gene")], "left")
-        gene = F.col("g.gene")
+        out = on_every_gene(sums, sizes, genes, keys)
     else:
-        out = sizes.alias("g").join(sums.alias("s"), match)
-        gene = F.col("s.gene")
-    return out.select(
-        *(F.col(f"g.{k}") for k in keys),
-        gene.alias("gene"),
-        (F.coalesce("s", F.lit(0.0)) / F.col("n_cells")).alias("mean_expr"),
-        (F.coalesce("c", F.lit(0)) / F.col("n_cells")).alias("frac_expressed"),
-        "n_cells",
-    )
+        match = [F.col(f"g.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+        out = sizes.alias("g").join(sums.alias("s"), match).select(*(F.col(f"g.{k}") for k in keys), "gene", "s", "c", "n_cells")
+    share = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("n_cells")
+    return out.select(*keys, "gene", share("s").alias("mean_expr"), share("c").alias("frac_expressed"), "n_cells")
 
 
 def two_granularities(lognorm: DataFrame, obs: DataFrame, donor: str, subtype: str, major: str) -> DataFrame:

@@ -71,8 +71,8 @@ def dataset(spark: SparkSession, d: str) -> Dataset:
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     expr = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.col("o_custkey").cast("string").alias("cell_id"), F.col("l_partkey").cast("string").alias("gene"))
-        .agg(F.sum("l_quantity").alias("value")).withColumn("layer", F.lit(MAIN))
+        .groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").alias("value"))
+        .select(F.col("o_custkey").cast("string").alias("cell_id"), F.col("l_partkey").cast("string").alias("gene"), "value", F.lit(MAIN).alias("layer"))
     )
     segments = F.create_map(*(F.lit(x) for kv in SEGMENTS.items() for x in kv))
     obs = table(spark, d, "customer").select(
