@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..model import AGGREGATE_TARGET, MAIN, Dataset
-from ..operators.aggregates import MAJORS, counts_by_class, counts_from_stats, merge_stats, normalise, two_granularities
+from ..operators.aggregates import MAJORS, counts_by_class, counts_from_stats, merge_stats, normalise, on_every_gene, two_granularities
 from ..operators.columns import clinical_columns, counts_last
 from ..operators.joins import donor_metadata
 from ..operators.report import warn_of_fractions, warn_of_gene_counts
@@ -27,11 +27,10 @@ def class_stats(data: Dataset, major: str, donor: str = "projid", subtype: str =
     sums = two_granularities(normalise(data.expr.filter(F.col("layer") == MAIN), AGGREGATE_TARGET), obs, "donor_id", "subtype", "major").withColumnRenamed("gene", "gene_symbol")
     kinds = F.inline(F.array(*(F.struct(F.lit(g).alias("granularity"), F.col(g).alias("cell_type")) for g in ("major", "subtype"))))
     sizes = obs.select("donor_id", kinds).groupBy("donor_id", "granularity", "cell_type").agg(F.count(F.lit(1)).alias("n_cells"))
-    grid = sizes.join(data.var.agg(F.collect_set("gene").alias("genes"))).select("donor_id", "granularity", "cell_type", "n_cells", F.explode("genes").alias("gene_symbol"))
-    keys = ("donor_id", "granularity", "cell_type", "gene_symbol")
-    out = grid.alias("g").join(sums.alias("s"), [F.col(f"g.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys], "left")
+    keys = ("donor_id", "granularity", "cell_type")
+    out = on_every_gene(sums.withColumnsRenamed({"sum_norm": "s", "n_expressing": "c"}), sizes, data.var, keys, "gene_symbol")
     share = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("n_cells")
-    return out.select(*(F.col(f"g.{k}") for k in keys), share("sum_norm").alias("mean_expr"), share("n_expressing").alias("frac_expressed"), "n_cells")
+    return out.select(*keys, "gene_symbol", share("s").alias("mean_expr"), share("c").alias("frac_expressed"), "n_cells")
 
 
 def all_stats(parts: dict[str, tuple[Dataset, str]]) -> DataFrame:
