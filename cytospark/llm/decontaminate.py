@@ -1,6 +1,6 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Texts are read as overlapping passages. A randomised SVD of their TF-IDF vectors, its
+Texts are read as overlapping passages. A randomised SVD of the TF-IDF vectors of them all, its
 products summed by Spark, gives a latent space in which directions are whitened;
 passages whose cosine with a benchmark passage is high are candidates. A candidate counts
 when the longest common subsequence of words covers the item, or covers much of it and
@@ -26,7 +26,7 @@ from .textkit import U64, batches_of_bytes, mix, span_hashes, text_bytes, trimme
 TERMS, LATENT = 1 << 14, 64
 #: Words of a half passage; a passage is two neighbouring halves.
 HALF = 16
-#: Documents of the corpus that the latent space is fitted on, at most (about); all passages are searched.
+#: Documents that the start of the latent space is made of, at most (about); it is fitted on all.
 FIT_DOCS, FIT_BYTES = 3000, 20_000
 COSINE = 0.45
 #: Shares of an item that a common subsequence covers: alone, or with SURE of the answer.
@@ -36,7 +36,7 @@ SHORT = 8
 #: Benchmark text and items that one pass over the corpus searches for, and that are screened together.
 PASS_BYTES, PASS_ITEMS = 2 << 20, 20_000
 SLICE_BYTES, SLICE_ITEMS = 64 << 10, 2000
-#: Benchmark items that the latent space is fitted on, at most (about).
+#: Benchmark items that its start is made of, at most (about).
 FIT_ITEMS = 20_000
 CHUNK_BYTES = 1 << 19
 
@@ -120,14 +120,15 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     return total if isinstance(total, np.ndarray) else np.zeros(TERMS + 1)
 
 
-def latent_space(sample: DataFrame, idf: np.ndarray, rounds: int = 2, seed: int = 6) -> np.ndarray:
+def latent_space(sample: DataFrame, corpus: DataFrame, items: DataFrame, idf: np.ndarray, weight: float, rounds: int = 2, seed: int = 6) -> np.ndarray:
     """Terms x LATENT matrix that maps TF-IDF vectors to whitened latent coordinates.
 
-    ``sample`` has ``text`` and a row ``weight``. Each round multiplies the basis by A'A,
-    A holding one unit row per passage.
+    A round multiplies the basis by A'A, A holding one unit row per passage. The first ``rounds``, over the
+    rows of ``sample`` with their ``weight``, only give the last one a good start; that one reads all texts of ``corpus``
+    and of ``items``, the latter with ``weight``, and basis and whitening are made of it alone.
     """
 
-    def product(basis: np.ndarray, sample: DataFrame = sample):
+    def product(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
         weighted = (idf[:, None] * basis).astype(np.float32)
 
         def part(batches):
@@ -138,7 +139,7 @@ def latent_space(sample: DataFrame, idf: np.ndarray, rounds: int = 2, seed: int
                 weight = batch.column("weight").to_numpy()[i:j]
                 term = _terms(words)
                 starts, owner = _halves(doc, j - i)
-                halves = np.add.reduceat(weighted[term], starts, axis=0)
+                halves = _half_sums(term, starts, weighted)
                 norms = np.add.reduceat(idf[term] ** 2, starts)
                 y, first = _passages(halves, owner)
                 size, _ = _passages(norms.copy(), owner)
@@ -148,20 +149,26 @@ def latent_space(sample: DataFrame, idf: np.ndarray, rounds: int = 2, seed: int
                 back[first] += y
                 second = first[np.r_[owner[1:] == owner[:-1], False][first]] + 1
                 back[second] += y[np.searchsorted(first, second - 1)]
-                order = np.argsort(term, kind="stable")
+                order = np.argsort(term.astype(np.uint16), kind="stable")
                 at = np.flatnonzero(np.r_[True, np.diff(term[order]) > 0])
                 half = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(words)]))
                 total[term[order][at]] += np.add.reduceat(back[half[order]], at, axis=0)
             return total * idf[:, None]
 
-        got = _summed(sample, part, 2, np.float32)
+        got = _summed(rows, part, 2, np.float32)
         return got.reshape(TERMS, -1) if isinstance(got, np.ndarray) else np.zeros((TERMS, basis.shape[1]))
 
     basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(TERMS, LATENT)))[0]
     for _ in range(rounds):
-        basis = np.linalg.qr(product(basis))[0]
+        basis = np.linalg.qr(product(sample, basis))[0]
+    alike = F.lit(1.0).alias("weight")
+    of_corpus, of_items = product(corpus.select("text", alike), basis), product(items.select("text", alike), basis)
     # Weights say which directions matter; whitening by them would shrink those of few items.
-    small = basis.T @ product(basis, sample.withColumn("weight", F.lit(1.0)))
+    image, start = of_corpus + of_items, basis
+    basis = np.linalg.qr(of_corpus + weight * of_items)[0]
+    # A'A is about Y (B'Y)^-1 Y' with Y = A'A B, so one pass is enough for its part in the new basis.
+    core, seen = start.T @ image, basis.T @ image
+    small = seen @ np.linalg.pinv((core + core.T) / 2, rcond=1e-6, hermitian=True) @ seen.T
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     scale = 1.0 / np.sqrt(np.maximum(values, max(values.max(), 1e-12) * 1e-6))
     return (idf[:, None] * (basis @ vectors) * scale).astype(np.float32)
@@ -337,7 +344,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = bench.filter(drawn(F.xxhash64("item_id", "text", F.lit(6)), FIT_ITEMS, n_items)).distinct()
     weight = max(1.0, 10.0 * min(FIT_DOCS, n_docs) / min(n_items, FIT_ITEMS))
     sample = materialise(corpus.union(known.select("text", F.lit(weight).alias("weight"))).repartition(2), "passages")
-    space = latent_space(sample, idf)
+    space = latent_space(sample, docs, bench, idf, max(1.0, 10.0 * n_docs / n_items))
     discard(sample)
 
     def found(rows: list) -> DataFrame:

@@ -551,3 +551,27 @@ def test_decontamination_of_paraphrases(spark, monkeypatch):
         item, own = plain_words(itexts[r["item_id"]]), plain_words(texts[r["doc_id"]])
         share = common_length(item, own[r["start"] : r["end"]]) / len(item)
         assert r["covered"] == pytest.approx(share) and share >= 0.6
+
+
+def test_decontamination_is_fitted_on_all_documents(spark, monkeypatch):
+    """However few rows the start is made of, the latent space is that of all texts, long ones too."""
+    rng = random.Random(5)
+    words = [f"{rng.choice('bcdfghk')}{rng.choice('aeiou')}{i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(120)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words[:25]))], "item_id long, text string")
+    frequency = decontaminate.document_frequencies(docs)
+    idf = np.log((1.0 + 120) / (1.0 + frequency[:-1])) + 0.05
+    weighed = lambda df: df.select("text", F.lit(1.0).alias("weight"))
+    spaces = [decontaminate.latent_space(weighed(s), docs, bench, idf, 10.0) for s in (docs, docs.filter("doc_id % 3 > 0"))]
+    # Inner products of passages, which are all that is used, don't hang on the sample.
+    data, offsets = decontaminate.text_bytes(pa.array([r["text"] for r in docs.orderBy("doc_id").limit(30).collect()], pa.large_string()))
+    terms, doc, _ = decontaminate.words_of(data, offsets)
+    cosines = [v @ v.T for v, _, _ in (decontaminate._project(terms, doc, 30, s) for s in spaces)]
+    assert np.abs(cosines[0] - cosines[1]).mean() < 0.05
+    read = []
+    known = decontaminate._summed
+    monkeypatch.setattr(decontaminate, "_summed", lambda df, *a: read.append(df.count()) or known(df, *a))
+    monkeypatch.setattr(decontaminate, "FIT_DOCS", 20)
+    monkeypatch.setattr(decontaminate, "FIT_BYTES", 100)
+    contaminated(docs, bench).count()
+    assert read.count(120) >= 2
