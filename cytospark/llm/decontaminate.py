@@ -39,6 +39,8 @@ SLICE_BYTES, SLICE_ITEMS = 64 << 10, 2000
 #: Benchmark items that its start is made of, at most (about).
 FIT_ITEMS = 20_000
 CHUNK_BYTES = 1 << 19
+#: Texts whose terms are told apart by flags; words of a frequent term in a chunk; entries of a table of frequent terms and halves.
+FLAGGED, FREQUENT, TABLE = 1 << 10, 64, 1 << 20
 
 _TRIM = np.zeros(256, bool)
 _TRIM[33:48] = _TRIM[58:65] = _TRIM[91:97] = _TRIM[123:127] = True
@@ -48,9 +50,15 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Hash of each lower-case word (outer ASCII punctuation off), its text, and whether a sentence ends."""
     starts, ends, doc = word_spans(data, offsets)
     stop = np.isin(data[ends - 1], np.frombuffer(b".!?", np.uint8)) if len(ends) else np.zeros(0, bool)
+    left = np.arange(len(starts))
     for _ in range(4):
-        ends = ends - (_TRIM[data[ends - 1]] & (ends - starts > 1)) if len(ends) else ends
-        starts = starts + (_TRIM[data[starts]] & (ends - starts > 1)) if len(starts) else starts
+        # Words that lose nothing at one turn lose nothing later.
+        a, b = starts[left], ends[left]
+        last = _TRIM[data[b - 1]] & (b - a > 1)
+        b = b - last
+        first = _TRIM[data[a]] & (b - a > 1)
+        starts[left], ends[left] = a + first, b
+        left = left[last | first]
     return span_hashes(data, starts, ends), doc, stop
 
 
@@ -106,13 +114,22 @@ def _summed(df: DataFrame, part, parts: int = 8, kind=np.float64) -> np.ndarray:
     return sum(np.frombuffer(r["total"], kind).astype(np.float64) for r in rows)
 
 
+def _holders(terms: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+    """Number of the texts that hold each hashed term; a flag a text and term, unless there are many short texts."""
+    if docs > FLAGGED:
+        return np.bincount(np.unique(doc * TERMS + terms) % TERMS, minlength=TERMS)
+    has = np.zeros(docs * TERMS, bool)
+    has[doc * TERMS + terms] = True
+    return np.count_nonzero(has.reshape(docs, TERMS), axis=0)
+
+
 def document_frequencies(docs: DataFrame) -> np.ndarray:
     """Number of documents that hold each hashed term; the last entry counts documents."""
 
     def part(batches):
         total = np.zeros(TERMS + 1)
         for _, i, j, words, doc, _ in _chunks(batches):
-            total[:TERMS] += np.bincount(np.unique(doc * TERMS + _terms(words)) % TERMS, minlength=TERMS)
+            total[:TERMS] += _holders(_terms(words), doc, j - i)
             total[TERMS] += j - i
         return total
 
@@ -149,10 +166,8 @@ def latent_space(sample: DataFrame, corpus: DataFrame, items: DataFrame, idf: np
                 back[first] += y
                 second = first[np.r_[owner[1:] == owner[:-1], False][first]] + 1
                 back[second] += y[np.searchsorted(first, second - 1)]
-                order = np.argsort(term.astype(np.uint16), kind="stable")
-                at = np.flatnonzero(np.r_[True, np.diff(term[order]) > 0])
-                half = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(words)]))
-                total[term[order][at]] += np.add.reduceat(back[half[order]], at, axis=0)
+                held, sums = _term_sums(term, np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(words)])), back)
+                total[held] += sums
             return total * idf[:, None]
 
         got = _summed(rows, part, 2, np.float32)
@@ -192,6 +207,31 @@ def _half_sums(terms: np.ndarray, starts: np.ndarray, space: np.ndarray) -> np.n
     return total
 
 
+def _term_sums(terms: np.ndarray, half: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``terms``, and for each the sum of the rows of ``back`` of the halves in which its words stand.
+
+    One word of every rare term is added at a time; frequent terms are a table of counts times ``back``.
+    """
+    order = np.argsort(terms.astype(np.uint16), kind="stable")
+    at = np.flatnonzero(np.r_[True, np.diff(terms[order]) > 0])
+    count, rows = np.diff(np.r_[at, len(terms)]), half[order]
+    often = np.argsort(-count, kind="stable")
+    frequent = int(np.count_nonzero(count > FREQUENT))
+    sums = np.zeros((len(at), back.shape[1]), back.dtype)
+    rare = often[frequent:]
+    for k in range(min(FREQUENT, int(count.max(initial=0)))):
+        rare = rare[: np.count_nonzero(count[rare] > k)]
+        sums[rare] += back.take(rows[at[rare] + k], axis=0)
+    step = max(1, TABLE // len(back))
+    for lo in range(0, frequent, step):
+        some = often[lo : min(lo + step, frequent)]
+        size = count[some]
+        word = np.arange(size.sum()) + np.repeat(at[some] - (np.cumsum(size) - size), size)
+        table = np.bincount(np.repeat(np.arange(len(some)), size) * len(back) + rows[word], minlength=len(some) * len(back))
+        sums[some] = table.reshape(len(some), -1).astype(back.dtype) @ back
+    return terms[order][at], sums
+
+
 def _project(words: np.ndarray, doc: np.ndarray, docs: int, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit latent vectors of passages, the text of each, and its first word."""
     starts, owner = _halves(doc, docs)

@@ -575,3 +575,22 @@ def test_decontamination_is_fitted_on_all_documents(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "FIT_BYTES", 100)
     contaminated(docs, bench).count()
     assert read.count(120) >= 2
+
+
+def test_sums_and_holders_of_terms():
+    """Rare and frequent terms, in tables of one row or many, and texts with flags or without, give plain sums and counts."""
+    rng = np.random.default_rng(3)
+    for n, halves, kinds in ((1, 1, 5), (5000, 40, 300), (3000, 900, 7)):
+        terms = np.sort(rng.zipf(1.3, n) % kinds) * 50
+        half = np.sort(rng.integers(0, halves, n))
+        back = rng.normal(size=(halves, 8)).astype(np.float32)
+        want = np.zeros((decontaminate.TERMS, 8))
+        np.add.at(want, terms, back[half].astype(float))
+        for table in (1, 1 << 20):
+            decontaminate.TABLE, before = table, decontaminate.TABLE
+            held, sums = decontaminate._term_sums(terms, half, back)
+            decontaminate.TABLE = before
+            assert held.tolist() == sorted(set(terms.tolist())) and np.allclose(sums, want[held], atol=1e-2)
+        for docs in (halves, decontaminate.FLAGGED + halves):
+            got = decontaminate._holders(terms, half, docs)
+            assert got.sum() == len(set(zip(terms.tolist(), half.tolist()))) and got[held].tolist() == [len(set(half[terms == t].tolist())) for t in held]
