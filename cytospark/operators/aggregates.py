@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.labels import is_whole
+from ..model import spread
 
 #: Cell classes whose counts make the total.
 MAJORS = ("Ex", "In", "Ast", "Mic", "Oli", "Opc")
@@ -65,22 +66,16 @@ def group_stats(lognorm: DataFrame, obs: DataFrame, genes: DataFrame, keys: Sequ
     return out.select(*keys, "gene", share("s").alias("mean_expr"), share("c").alias("frac_expressed"), "n_cells")
 
 
-def two_granularities(lognorm: DataFrame, obs: DataFrame, donor: str, subtype: str, major: str) -> DataFrame:
-    """AG4, AG5: sums by (donor, subtype) and by (donor, major) in one pass of grouping sets."""
-    rows = lognorm.join(obs.select("cell_id", donor, subtype, major), "cell_id")
-    a, b, c, g = (F.col(x) for x in (donor, subtype, major, "gene"))
-    out = rows.groupingSets([[a, b, g], [a, c, g]], a, b, c, g).agg(
-        F.sum("norm").alias("sum_norm"), F.count_if(F.col("value") > 0).alias("n_expressing"), F.grouping(subtype).alias("_by_major")
-    )
-    by_major = F.col("_by_major") == 1
-    return out.select(
-        a.cast("string").alias("donor_id"),
-        F.when(by_major, "major").otherwise("subtype").alias("granularity"),
-        F.when(by_major, c).otherwise(b).alias("cell_type"),
-        g,
-        "sum_norm",
-        "n_expressing",
-    )
+def two_granularities(lognorm: DataFrame, obs: DataFrame, donor: str, subtype: str, major: str, tasks: int | None = None) -> DataFrame:
+    """AG4, AG5: sums by (donor, subtype) and by (donor, major) in one pass.
+
+    With ``tasks`` the values are dealt by donor and gene before each counts twice, so both sums are whole where they are.
+    """
+    rows = lognorm.join(obs.select("cell_id", donor, subtype, major), "cell_id").select(donor, subtype, major, "gene", "norm", "value")
+    kinds = F.inline(F.array(*(F.struct(F.lit(name).alias("granularity"), F.col(c).alias("cell_type")) for name, c in (("subtype", subtype), ("major", major)))))
+    twice = spread(rows, tasks and 2 * tasks, donor, "gene").select(F.col(donor), kinds, "gene", "norm", "value")
+    out = twice.groupBy(donor, "granularity", "cell_type", "gene").agg(F.sum("norm").alias("sum_norm"), F.count_if(F.col("value") > 0).alias("n_expressing"))
+    return out.select(F.col(donor).cast("string").alias("donor_id"), "granularity", "cell_type", "gene", "sum_norm", "n_expressing")
 
 
 def merge_stats(stats: DataFrame, keys: Sequence[str] = ("donor_id", "granularity", "cell_type", "gene_symbol")) -> DataFrame:

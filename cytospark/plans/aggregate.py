@@ -24,7 +24,7 @@ def class_stats(data: Dataset, major: str, donor: str = "projid", subtype: str =
     A missing donor is a group of its own.
     """
     obs = data.obs.select("cell_id", F.col(donor).cast("string").alias("donor_id"), F.col(subtype).cast("string").alias("subtype"), F.lit(major).alias("major"))
-    sums = two_granularities(normalise(data.expr.filter(F.col("layer") == MAIN), AGGREGATE_TARGET), obs, "donor_id", "subtype", "major").withColumnRenamed("gene", "gene_symbol")
+    sums = two_granularities(normalise(data.expr.filter(F.col("layer") == MAIN), AGGREGATE_TARGET), obs, "donor_id", "subtype", "major", data.tasks).withColumnRenamed("gene", "gene_symbol")
     kinds = F.inline(F.array(*(F.struct(F.lit(g).alias("granularity"), F.col(g).alias("cell_type")) for g in ("major", "subtype"))))
     sizes = obs.select("donor_id", kinds).groupBy("donor_id", "granularity", "cell_type").agg(F.count(F.lit(1)).alias("n_cells"))
     keys = ("donor_id", "granularity", "cell_type")

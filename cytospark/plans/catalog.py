@@ -118,7 +118,7 @@ SELECT donor_id, granularity, cell_type, gene, round(s, 6) AS sum_norm, n_expres
 def group_stats_grouping_sets(spark, d):
     """AG4, AG5."""
     x = dataset(spark, d)
-    return rounded(ag.two_granularities(lognorm(x), x.obs, "donor", "subtype", "major"), "sum_norm")
+    return rounded(ag.two_granularities(lognorm(x), x.obs, "donor", "subtype", "major", x.tasks), "sum_norm")
 
 
 @query(CTE + STATS_SQL.format(k="subtype") + """, m AS (SELECT donor, CASE cell_type WHEN 'AUTOMOBILE' THEN 'Ex' WHEN 'BUILDING' THEN 'In' WHEN 'FURNITURE' THEN 'Ast' WHEN 'HOUSEHOLD' THEN 'Mic' ELSE 'Ex' END AS major, gene, mean_expr, frac_expressed, n_cells FROM stats)
