@@ -33,9 +33,12 @@ ROWS_PER_TASK = 1 << 18
 
 
 def tasks_for(spark: SparkSession, rows: int) -> int | None:
-    """Tasks over which so many values are dealt, so that a task's share doesn't grow with them; None where the session's setting is enough."""
+    """Tasks over which so many values are dealt, so that a task's share doesn't grow with them; None where one a core is enough.
+
+    The session's number of partitions isn't enough: Spark merges them into one a core, up to its advisory size.
+    """
     tasks = -(-rows // ROWS_PER_TASK)
-    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+    return tasks if tasks > min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism) else None
 
 
 def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
