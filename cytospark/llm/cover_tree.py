@@ -335,15 +335,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
 
     best = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
     nothing = (F.lit(None).cast("array<long>").alias("rows"), F.lit(None).cast("array<long>").alias("least"))
-    aims = queries.select("group", "chunk", "tree", F.inline("to"))
-    early = materialise(visit(aims.filter("early").select("chunk", "tree", "cell", *nothing)), "found")
+    early = materialise(visit(queries.select("chunk", "tree", F.inline("to")).filter("early").select("chunk", "tree", "cell", *nothing)), "found")
     # The k-th score of each query so far, gathered for its group; queries with fewer have none.
     kth = early.withColumn("rank", best).filter(F.col("rank") == k).select(F.col("query_row").alias("row"), F.col("score").alias("least"))
     home = rows.filter("asks").select("row", part(groups).alias("group"))
     known = home.join(kth, "row", "left").groupBy("group").agg(
         F.collect_list(F.when(F.col("least").isNotNull(), F.col("row"))).alias("rows"), F.collect_list("least").alias("least"), F.min(F.coalesce("least", F.lit(-(1 << 63)))).alias("worst")
     )
-    late = aims.filter("not early").join(known, "group").filter(F.col("most") >= F.col("worst"))
+    # Trees are copied to their pivots after the join, and are never sent through the driver: Spark, which knows their size as it is on disk, would broadcast them.
+    late = queries.hint("merge").join(known, "group").select("chunk", "tree", "rows", "least", "worst", F.inline("to")).filter("not early and most >= worst")
     found = early.unionByName(visit(late.select("chunk", "tree", "cell", "rows", "least")))
     return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -119,6 +119,22 @@ def test_top_k(spark, monkeypatch, small):
     assert sorted(map(tuple, got.collect())) == ranks(rows)
 
 
+def test_top_k_sends_no_trees_through_the_driver(spark, monkeypatch):
+    """However small Spark takes them to be: no broadcast holds query trees or blocks."""
+    monkeypatch.setattr(cover_tree, "PER_PIVOT", 100)
+    table = spark.createDataFrame(vectors(), "vec_id long, embedding array<float>").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        got = top_k(table, F.col("vec_id") % 3 == 0, k=4)
+        assert got.count()
+        plan = got._jdf.queryExecution().explainString(got._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "tree#" in plan
+    assert not [part for part in plan.split("\n\n") if "BroadcastExchange\n" in part and "tree#" in part]
+
+
 def test_top_k_odd_tables(spark):
     schema = "vec_id long, embedding array<float>"
     for rows in ([], [(3, [1.0])], [(1, [1.0]), (2, [2.0])], [(3, None)]):
